@@ -1,0 +1,26 @@
+import pytest
+from pyspark.sql import SparkSession
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tallymill-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={tmp_path_factory.mktemp('derby')}/derby.log")
+        .getOrCreate()
+    )
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
