@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tallymill.fixtures import positioned_tx, tx
 from tallymill.functions.tokens import TokenKeys, decrypt_columns, encrypt_columns, with_token_check
 from tallymill.operators import batching, cleaning, contract, metrics, serving
-from tallymill.operators.position import find_cuts, stage_in_key_order
-from tallymill.plans.ingest import ingest_all, ingest_batch
+from tallymill.operators.parallel import spread
+from tallymill.operators.position import stage_in_key_order
+from tallymill.plans.ingest import ingest_all, ingest_batch, protect_in_parallel
 from tallymill.plans.publish import read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.schema import (
@@ -183,13 +184,15 @@ def flagged_fraud_accuracy(spark, sf_dir):
 
 def encrypt_roundtrip(spark, sf_dir):
     keys = _keys(spark)
-    return decrypt_columns(encrypt_columns(tx(spark, sf_dir), PROTECTED_COLUMNS, keys), PROTECTED_COLUMNS, keys)
+    return decrypt_columns(
+        encrypt_columns(spread(tx(spark, sf_dir)), PROTECTED_COLUMNS, keys), PROTECTED_COLUMNS, keys
+    )
 
 
 def encrypt_null(spark, sf_dir):
     keys = _keys(spark)
     known = tx(spark, sf_dir).withColumn("nameOrig", F.when(F.col("isFraud").isNotNull(), F.col("nameOrig")))
-    tokens = encrypt_columns(known, ["nameOrig"], keys).withColumn("has_token", F.col("nameOrig").isNotNull())
+    tokens = encrypt_columns(spread(known), ["nameOrig"], keys).withColumn("has_token", F.col("nameOrig").isNotNull())
     return decrypt_columns(tokens, ["nameOrig"], keys).select("transactionID", "nameOrig", "has_token")
 
 
@@ -204,7 +207,7 @@ def decrypt_tamper(spark, sf_dir):
         .when(kind == "DEBIT", F.concat(F.lit("!"), token))
         .otherwise(token)
     )
-    tokens = encrypt_columns(tx(spark, sf_dir), ["nameOrig"], keys).withColumn("nameOrig", damaged)
+    tokens = encrypt_columns(spread(tx(spark, sf_dir)), ["nameOrig"], keys).withColumn("nameOrig", damaged)
     checked = with_token_check(tokens, "nameOrig", keys, "text", "valid")
     return checked.groupBy("type").agg(
         F.count(F.lit(1)).alias("tokens"),
@@ -250,7 +253,7 @@ def fraud_type_bars(spark, sf_dir):
 
 def clean(spark, sf_dir):
     keys = _keys(spark)
-    return cleaning.clean(encrypt_columns(drop_step(spark, sf_dir), PROTECTED_COLUMNS, keys), keys)
+    return cleaning.clean(protect_in_parallel(tx(spark, sf_dir), keys), keys)
 
 
 def ingest_one_batch(spark, sf_dir):

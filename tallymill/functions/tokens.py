@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the environment variable that holds the key.
+KEY_VARIABLE = "ENCRYPTION_KEY"
+
 # Fixed values of the token format.
 _VERSION = "80"
 _BLOCK_BYTES = 64
@@ -50,6 +54,14 @@ class TokenKeys:
         }
         return cls(spark.createDataFrame(pa.table(row, schema=pa.schema({name: pa.binary() for name in row}))))
 
+    @classmethod
+    def from_environment(cls, spark: SparkSession, variable: str = KEY_VARIABLE) -> TokenKeys:
+        """The key that both jobs are given by the environment."""
+        key = os.environ.get(variable)
+        if not key:
+            raise ValueError(f"{variable} is not set")
+        return cls.from_text(spark, key)
+
     def __repr__(self) -> str:
         return "TokenKeys(...)"
 

@@ -1,0 +1,14 @@
+"""Use of the cluster by sources that split badly."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has far fewer splits than there are cores.
+
+    For costly work on a few compressed or small files. A scan that splits well is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() * 4 <= cores else rows

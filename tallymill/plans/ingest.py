@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tallymill.functions.tokens import TokenKeys, encrypt_columns
 from tallymill.operators.batching import batch_slice, with_segment
 from tallymill.operators.cleaning import drop_step
+from tallymill.operators.parallel import spread
 from tallymill.schema import BATCH_COUNT, BATCH_SPAN, PROTECTED_COLUMNS
 from tallymill.sources.files import write_batch, write_table
 
@@ -16,11 +17,16 @@ def protect(rows: DataFrame, keys: TokenKeys) -> DataFrame:
     return encrypt_columns(drop_step(rows), PROTECTED_COLUMNS, keys)
 
 
+def protect_in_parallel(rows: DataFrame, keys: TokenKeys) -> DataFrame:
+    """As ``protect``, on all cores even if the source has a few splits only."""
+    return protect(spread(rows), keys)
+
+
 def ingest_batch(
     positioned: DataFrame, root: str, size: int, batch: int, keys: TokenKeys, span: int = BATCH_SPAN
 ) -> None:
     """Land one batch. Running it again replaces the batch."""
-    write_batch(protect(batch_slice(positioned, size, batch, span), keys), root, batch)
+    write_batch(protect_in_parallel(batch_slice(positioned, size, batch, span), keys), root, batch)
 
 
 def ingest_all(
@@ -33,4 +39,4 @@ def ingest_all(
 ) -> None:
     """Land all batches in one pass without a shuffle, as disjoint segments that batches share."""
     segmented = with_segment(positioned, size, batches + span - 1)
-    write_table(protect(segmented, keys), root, "segment")
+    write_table(protect_in_parallel(segmented, keys), root, "segment")

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymill.operators.position import POSITION
 from tallymill.schema import RAW_SCHEMA
 
 # Six digits, so that a written file gives back the microseconds it was given.
 _TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_SUCCESS_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
@@ -50,9 +50,9 @@ def stage_csv(csv: DataFrame, path: str) -> DataFrame:
     return csv.sparkSession.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Write a Parquet table in place of what was there."""
-    writer = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, *partition_by: str, success_marker: bool = True) -> None:
+    """Write a Parquet table in place of what was there, with or without a ``_SUCCESS`` file beside it."""
+    writer = df.write.mode("overwrite").option(_SUCCESS_MARKER, str(success_marker).lower())
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.parquet(path)
@@ -74,7 +74,7 @@ def batch_path(root: str, batch: int) -> str:
 
 def write_batch(df: DataFrame, root: str, batch: int) -> None:
     """Write one batch directory. An empty batch is written too, and replaces an older one."""
-    write_table(df, batch_path(root, batch))
+    write_table(df, batch_path(root, batch), success_marker=False)
 
 
 def read_batch(spark: SparkSession, root: str, batch: int) -> DataFrame:
@@ -84,14 +84,3 @@ def read_batch(spark: SparkSession, root: str, batch: int) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def without_success_markers(spark: SparkSession) -> None:
-    """Write no ``_SUCCESS`` files from now on. Keep them if other jobs wait for them."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-
-
-def data_columns(df: DataFrame) -> list[str]:
-    """Columns without the position."""
-    return [name for name in df.columns if name not in POSITION]

@@ -1,0 +1,188 @@
+"""Slices, segments and multiset difference against brute force."""
+
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallymill.fixtures import positioned_tx
+from tallymill.operators import batching
+from tallymill.operators.batching import batch_slice, except_all, fan_out, limit_prefix, slice_rows, with_segment
+from tallymill.operators.position import find_cuts, stage_in_key_order, with_source_position
+from tallymill.sources.files import read_csv, stage_csv
+
+SIZES = [0, 7, 1, 0, 40, 3, 12]
+
+
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """75 rows in files of uneven size, two of them empty, under a path that needs escaping."""
+    root = tmp_path_factory.mktemp("many") / "raw files"
+    first = 0
+    for number, size in enumerate(SIZES):
+        rows = spark.range(first, first + size, numPartitions=1).selectExpr("id", "id % 5 AS kind")
+        rows.coalesce(1).write.parquet(str(root / f"part={number}"))
+        first += size
+    return with_source_position(spark.read.parquet(str(root)).drop("part"))
+
+
+def ids(df):
+    return sorted(row["id"] for row in df.select("id").collect())
+
+
+def scanned_files(df):
+    """Files that the scan of an executed frame has opened."""
+    df._jdf.collectToPython()
+
+    def walk(plan):
+        found = []
+        metrics = plan.metrics()
+        if metrics.contains("numFiles"):
+            found.append(metrics.apply("numFiles").value())
+        children = plan.children()
+        for number in range(children.size()):
+            found += walk(children.apply(number))
+        return found
+
+    plan = df._jdf.queryExecution().executedPlan()
+    return walk(plan)
+
+
+@pytest.mark.parametrize(
+    "start, end", [(0, 0), (0, 1), (0, 7), (6, 9), (7, 8), (8, 48), (47, 60), (60, 63), (62, 63), (62, 900), (63, 70), (0, 63)]
+)
+def test_slices_follow_the_source(many_files, start, end):
+    assert ids(slice_rows(many_files, start, end)) == list(range(63))[start:end]
+
+
+def test_cuts_of_all_ranks(many_files):
+    rank_of = {tuple(row): rank for rank, row in enumerate(many_files.select("_file", "_block", "_row").orderBy("id").collect())}
+    cuts = find_cuts(many_files, range(70))
+    assert [rank_of[(cut.file, cut.block, cut.row)] for cut in list(cuts.values())[:63]] == list(range(63))
+    assert [cuts[rank] for rank in range(63, 70)] == [None] * 7
+
+
+def test_a_slice_opens_only_its_files(many_files):
+    everything = scanned_files(slice_rows(many_files, 0, 63))
+    one_file = scanned_files(slice_rows(many_files, 10, 20))
+    assert everything == [len(SIZES)]
+    assert one_file[0] < everything[0] - 2
+
+
+def test_cuts_read_no_data_columns(many_files):
+    blocks = many_files.groupBy("_file", "_block").agg(F.min("_row"), F.count(F.lit(1)))
+    plan = blocks._sc._jvm.PythonSQLUtils.explainString(blocks._jdf.queryExecution(), "formatted")
+    assert "ReadSchema: struct<_tmp_metadata_row_index:bigint>" in plan
+
+
+def test_batches_overlap_and_stop_at_the_end(many_files):
+    for batch in range(1, 9):
+        expected = list(range(63))[(batch - 1) * 10 : (batch + 1) * 10]
+        assert ids(batch_slice(many_files, 10, batch)) == expected
+        assert ids(batch_slice(many_files, 10, batch, span=1)) == expected[:10]
+
+
+@pytest.mark.parametrize("size, batch, span", [(10, 0, 2), (10, -1, 2), (0, 1, 2), (10, 1, 0)])
+def test_impossible_batches_are_refused(many_files, size, batch, span):
+    with pytest.raises(ValueError):
+        batch_slice(many_files, size, batch, span)
+
+
+def test_slice_has_no_shuffle(spark, sf_dir):
+    rows = batch_slice(positioned_tx(spark, sf_dir), 100, 2)
+    plan = rows._sc._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert "Exchange" not in plan and "Limit" not in plan
+    everything = fan_out(positioned_tx(spark, sf_dir), 100)
+    plan = everything._sc._jvm.PythonSQLUtils.explainString(everything._jdf.queryExecution(), "formatted")
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("span", [1, 2, 3])
+@pytest.mark.parametrize("size", [1, 5, 10, 100])
+def test_fan_out_is_the_union_of_the_slices(many_files, size, span):
+    fanned = {}
+    for row in fan_out(many_files, size, batches=5, span=span).collect():
+        fanned.setdefault(row["batch"], []).append(row["id"])
+    expected = {batch: list(range(63))[(batch - 1) * size : (batch - 1 + span) * size] for batch in range(1, 6)}
+    assert {batch: sorted(found) for batch, found in fanned.items()} == {b: e for b, e in expected.items() if e}
+
+
+def test_segments_are_disjoint(many_files):
+    found = Counter(row["segment"] for row in with_segment(many_files, 10, 6).collect())
+    assert found == {number: 10 for number in range(6)}
+    assert ids(with_segment(many_files, 10, 6)) == list(range(60))
+
+
+def test_limit_keeps_the_first_rows(many_files):
+    assert ids(limit_prefix(many_files, 50)) == list(range(50))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(start=st.integers(0, 70), length=st.integers(0, 70))
+def test_any_slice(many_files, start, length):
+    assert ids(slice_rows(many_files, start, start + length)) == list(range(63))[start : start + length]
+
+
+def test_csv_is_sliced_in_line_order(spark, tmp_path):
+    """Several files, each read in several splits, columns in another order than the schema."""
+    source, number = tmp_path / "csv", 0
+    source.mkdir()
+    for name, lines in (("a.csv", 900), ("b.csv", 0), ("c.csv", 2000), ("d.csv", 1)):
+        rows = "".join(f"note {number + line},{number + line}\n" for line in range(lines))
+        (source / name).write_text("note,id\n" + rows)
+        number += lines
+    with_setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(with_setting)
+    spark.conf.set(with_setting, "4096")
+    try:
+        schema = "id bigint, note string"
+        raw = read_csv(spark, str(source), spark.createDataFrame([], schema).schema)
+        staged = stage_csv(raw, str(tmp_path / "staged"))
+    finally:
+        spark.conf.set(with_setting, before)
+    assert staged.select("_file", "_block").distinct().count() > 5
+    assert staged.filter(F.concat(F.lit("note "), "id") != F.col("note")).isEmpty()
+    for start, end in ((0, 1), (100, 2200), (899, 901), (2899, 2901), (2900, 9999)):
+        assert ids(slice_rows(staged, start, end)) == list(range(number))[start:end]
+
+
+def test_key_order_with_ties_nulls_and_a_hot_key(spark, tmp_path):
+    """A third of the rows share one key and are copies of each other, others have no key."""
+    draw = random.Random(5)
+    keys = [7] * 200 + [None] * 40 + [draw.randrange(100) for _ in range(360)]
+    draw.shuffle(keys)
+    source = spark.createDataFrame([(key, "copy" if key == 7 else "row") for key in keys], "key int, note string")
+    source.repartition(5).write.parquet(str(tmp_path / "source"))
+    rows = with_source_position(spark.read.parquet(str(tmp_path / "source")))
+    ordered = stage_in_key_order(rows, ["key"], str(tmp_path / "ordered"), partitions=8)
+    assert ordered.groupBy("_block").count().agg(F.max("count")).first()[0] < 200
+    expected = sorted(keys, key=lambda key: -1 if key is None else key)
+    for start, end in ((0, 50), (30, 45), (100, 400), (590, 700)):
+        found = [row["key"] for row in slice_rows(ordered, start, end).collect()]
+        assert sorted(found, key=lambda key: -1 if key is None else key) == expected[start:end]
+
+
+def test_key_order_keeps_source_order_of_ties(spark, many_files, tmp_path):
+    ordered = stage_in_key_order(many_files, ["kind"], str(tmp_path / "ordered"), partitions=4)
+    expected = sorted(range(63), key=lambda number: (number % 5, number))
+    for start, end in ((0, 5), (5, 30), (25, 63)):
+        assert ids(slice_rows(ordered, start, end)) == sorted(expected[start:end])
+
+
+def multiset(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+@pytest.mark.parametrize("copies_per_task", [1 << 16, 3])
+def test_except_all_counts_copies(spark, monkeypatch, copies_per_task):
+    monkeypatch.setattr(batching, "_COPIES_PER_TASK", copies_per_task)
+    draw = random.Random(3)
+    left = [(draw.choice([1, 2, 3, None]), draw.choice(["a", None])) for _ in range(60)] + [(9, "hot")] * 50
+    right = [(draw.choice([1, 2, 3, None]), draw.choice(["a", None])) for _ in range(20)] + [(9, "hot")] * 8 + [(5, "b")]
+    schema = "x int, y string"
+    difference = except_all(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema))
+    assert multiset(difference) == Counter(left) - Counter(right)
+    assert difference.columns == ["x", "y"]
