@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -49,14 +50,21 @@ class Snapshot:
 
 def read_published(spark: SparkSession, root: str, table: str, history: bool = False) -> DataFrame:
     """A served table: of the batch published last, or with ``history`` of every batch as published last."""
+    root = root.rstrip("/")
     log = spark.read.parquet(f"{root}/{_LOG}")
     newest = log.groupBy("batch").agg(F.max("snapshot").alias("snapshot"))
     if not history:
         newest = newest.agg(F.max(F.struct("snapshot", "batch")).alias("last")).select("last.*")
-    chosen = F.lit(False)
+    batches_of: dict[str, list[int]] = {}
     for entry in newest.collect():  # at most one row for each batch
-        chosen = chosen | ((F.col("snapshot") == entry["snapshot"]) & (F.col("batch") == entry["batch"]))
-    rows = spark.read.parquet(f"{root}/{table}").filter(chosen).drop("snapshot")
+        batches_of.setdefault(entry["snapshot"], []).append(entry["batch"])
+    parts = [
+        spark.read.option("basePath", f"{root}/{table}/snapshot={snapshot}")
+        .parquet(f"{root}/{table}/snapshot={snapshot}")
+        .filter(F.col("batch").isin(batches))
+        for snapshot, batches in sorted(batches_of.items())
+    ]
+    rows = functools.reduce(DataFrame.unionByName, parts)
     return rows if history else rows.drop("batch")
 
 

@@ -78,8 +78,8 @@ def write_batch(df: DataFrame, root: str, batch: int) -> None:
 
 
 def read_batch(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """Read one batch of a table partitioned by ``batch``; other directories are not touched."""
-    return spark.read.parquet(root).filter(F.col("batch") == batch).drop("batch")
+    """Read one batch directory with the columns it has itself; others are not even listed."""
+    return spark.read.parquet(batch_path(root, batch))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
