@@ -29,7 +29,7 @@ from tallymill.schema import (
 from tallymill.scratch import scratch_path
 from tallymill.sources import files
 from tallymill.sources.jdbc import read_jdbc, write_jdbc
-from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals
+from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals, publish_arrivals, read_arrivals
 
 _SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -331,7 +331,8 @@ def _arrived(spark: SparkSession, sf_dir: str) -> tuple[str, TokenKeys]:
     source, landed, checkpoint = (scratch_path(spark, name) for name in ("arriving", "landed", "progress"))
     files.write_csv(tx(spark, sf_dir).repartition(4, "transactionID"), source)
     for _ in range(2):
-        land_arrivals(spark, source, landed, checkpoint, keys, files_per_trigger=2).awaitTermination()
+        arriving = read_arrivals(spark, source, files_per_trigger=2)
+        land_arrivals(arriving, landed, checkpoint, keys).awaitTermination()
     return landed, keys
 
 
@@ -344,6 +345,16 @@ def stream_fraud_by_type(spark, sf_dir):
     return _rounded(fraud_by_type_so_far(spark, *_arrived(spark, sf_dir)), "fraud_rate")
 
 
+def stream_batches(spark, sf_dir):
+    """Flagged transactions arrive first and become batch 1, all others become batch 2."""
+    keys, source = _keys(spark), scratch_path(spark, "arriving")
+    landed, served, checkpoint = (scratch_path(spark, name) for name in ("landed", "served", "progress"))
+    for flag in (1, 0):
+        files.write_csv(tx(spark, sf_dir).filter(F.col("isFlaggedFraud") == flag), f"{source}/flag={flag}")
+        publish_arrivals(read_arrivals(spark, f"{source}/*"), landed, served, checkpoint, keys).awaitTermination()
+    return _rounded(read_published(spark, served, FRAUD_BY_TYPE, history=True), "fraud_rate")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_count": row_count,
@@ -395,6 +406,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "served_history": served_history,
         "stream_ingest": stream_ingest,
         "stream_fraud_by_type": stream_fraud_by_type,
+        "stream_batches": stream_batches,
     }
 
 
@@ -549,5 +561,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT batch, {_BY_TYPE} FROM all_clean WHERE batch IN (1, 10) GROUP BY batch, "transType" """,
         "stream_ingest": 'SELECT * EXCLUDE ("step") FROM tx',
         "stream_fraud_by_type": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
+        "stream_batches": f"""
+            SELECT batch, {_BY_TYPE} FROM (SELECT *, CASE WHEN "isFlaggedFraud" THEN 1 ELSE 2 END AS batch FROM cleaned)
+            GROUP BY batch, "transType" """,
     }
     return {name: f"WITH {_TX} {statement}" for name, statement in statements.items()}

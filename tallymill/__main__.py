@@ -19,7 +19,7 @@ from tallymill.plans.publish import SERVED_TABLES, publish_jdbc, read_published
 from tallymill.plans.transform import transform_all, transform_batch
 from tallymill.schema import BATCH_COUNT, BATCH_SPAN
 from tallymill.sources.files import read_batch, read_csv, stage_csv
-from tallymill.streaming.arrivals import land_arrivals
+from tallymill.streaming.arrivals import land_arrivals, publish_arrivals, read_arrivals
 
 # Environment variables that the jobs read.
 SIZE_VARIABLE = "BATCH_SIZE"
@@ -64,6 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     arrivals.add_argument("source")
     arrivals.add_argument("landed")
     arrivals.add_argument("checkpoint")
+    arrivals.add_argument("--served", help="make the new files a batch and publish it")
     return parser
 
 
@@ -122,7 +123,12 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         _transform(spark, options)
     else:
         keys = TokenKeys.from_environment(spark)
-        land_arrivals(spark, options.source, options.landed, options.checkpoint, keys).awaitTermination()
+        arriving = read_arrivals(spark, options.source)
+        if options.served:
+            query = publish_arrivals(arriving, options.landed, options.served, options.checkpoint, keys)
+        else:
+            query = land_arrivals(arriving, options.landed, options.checkpoint, keys)
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -1,4 +1,4 @@
-"""Landing new CSV files once each as they arrive."""
+"""New CSV files, each taken once as they arrive."""
 
 from __future__ import annotations
 
@@ -10,29 +10,30 @@ from tallymill.functions.tokens import TokenKeys
 from tallymill.operators import metrics
 from tallymill.operators.cleaning import clean
 from tallymill.plans.ingest import protect
+from tallymill.plans.transform import transform_batch
 from tallymill.schema import RAW_SCHEMA
+from tallymill.sources.files import write_batch
 
 
-def land_arrivals(
-    spark: SparkSession,
-    source: str,
-    landed: str,
-    checkpoint: str,
-    keys: TokenKeys,
-    schema: T.StructType = RAW_SCHEMA,
-    files_per_trigger: int = 1000,
-) -> StreamingQuery:
-    """Land the files that are new since the last run, then stop.
-
-    The checkpoint remembers the files that were read and the file sink logs what each step wrote, so a step
-    that is run again after a failure adds nothing twice.
-    """
-    arriving = (
+def read_arrivals(
+    spark: SparkSession, source: str, schema: T.StructType = RAW_SCHEMA, files_per_trigger: int = 1000
+) -> DataFrame:
+    """Rows of the files in a folder as a stream. A file whose header differs from the schema is an error."""
+    return (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(source)
     )
+
+
+def land_arrivals(arriving: DataFrame, landed: str, checkpoint: str, keys: TokenKeys) -> StreamingQuery:
+    """Land the files that are new since the last run, then stop.
+
+    The checkpoint remembers the files that were read and the file sink logs what each step wrote, so a step
+    that is run again after a failure adds nothing twice.
+    """
     return (
         protect(arriving, keys)
         .writeStream.format("parquet")
@@ -43,6 +44,27 @@ def land_arrivals(
     )
 
 
+def publish_arrivals(
+    arriving: DataFrame, landed: str, served: str, checkpoint: str, keys: TokenKeys
+) -> StreamingQuery:
+    """Make each step of new files a batch of its own: land, transform and publish it, then stop.
+
+    Batches are numbered by the stream from 1. A step that is run again replaces its batch directory, and of
+    two snapshots of a batch the newer counts.
+    """
+
+    def publish(rows: DataFrame, step: int) -> None:
+        write_batch(protect(rows, keys), landed, step + 1)
+        transform_batch(rows.sparkSession, landed, step + 1, keys, served)
+
+    return (
+        arriving.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def fraud_by_type_so_far(spark: SparkSession, landed: str, keys: TokenKeys) -> DataFrame:
     """Fraud by type over all that has landed."""
     return metrics.fraud_by_type(metrics.summarize(clean(spark.read.parquet(landed), keys)))

@@ -39,7 +39,7 @@ def test_each_query_has_its_sql():
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(spark, duck, sf_dir, name):
     actual = QUERIES[name](spark, sf_dir).toArrow()
-    expected = duck.execute(ORACLES[name]).to_arrow_table()
+    expected = duck.sql(ORACLES[name]).to_arrow_table()
     assert types(actual) == types(expected)
     assert actual.num_rows == expected.num_rows
     assert rows(actual) == rows(expected)

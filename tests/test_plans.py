@@ -21,7 +21,7 @@ from tallymill.schema import BATCH_COUNT, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORME
 from tallymill.scratch import scratch_path
 from tallymill.sources import files
 from tallymill.sources.jdbc import postgres_url, read_jdbc, write_jdbc
-from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals
+from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals, publish_arrivals, read_arrivals
 
 KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
 NAMES = ["nameOrig", "nameDest"]
@@ -226,20 +226,44 @@ def test_postgres_url():
 def test_arrivals_land_once(spark, sf_dir, keys, tmp_path):
     source, landed, checkpoint = (str(tmp_path / name) for name in ("source", "landed", "checkpoint"))
     early, late = tx(spark, sf_dir).filter("transactionID < 400"), tx(spark, sf_dir).filter("transactionID >= 400")
+
+    def land(files_per_trigger=1000):
+        arriving = read_arrivals(spark, f"{source}/*", files_per_trigger=files_per_trigger)
+        land_arrivals(arriving, landed, checkpoint, keys).awaitTermination()
+        return spark.read.parquet(landed)
+
     files.write_csv(early, f"{source}/month=1")
-    land_arrivals(spark, f"{source}/*", landed, checkpoint, keys, files_per_trigger=1).awaitTermination()
-    assert spark.read.parquet(landed).count() == 400
-    land_arrivals(spark, f"{source}/*", landed, checkpoint, keys).awaitTermination()
-    assert spark.read.parquet(landed).count() == 400
+    assert land(files_per_trigger=1).count() == 400
+    assert land().count() == 400
     files.write_csv(late, f"{source}/month=2")
-    land_arrivals(spark, f"{source}/*", landed, checkpoint, keys).awaitTermination()
-    stored = spark.read.parquet(landed)
+    stored = land()
     assert same(decrypt_columns(stored, NAMES, keys), drop_step(tx(spark, sf_dir)))
     assert stored.select("nameOrig").distinct().count() == stored.count()
     whole = metrics.fraud_by_type(metrics.summarize(clean(drop_step(tx(spark, sf_dir)))))
     assert by_type(fraud_by_type_so_far(spark, landed, keys)) == by_type(whole)
 
 
+def test_a_step_run_again_replaces_its_batch(spark, sf_dir, keys, tmp_path):
+    """As after a failure between publishing and the checkpoint: the checkpoint is lost, the files are the same."""
+    source, landed, served = (str(tmp_path / name) for name in ("source", "landed", "served"))
+    files.write_csv(tx(spark, sf_dir), source)
+    for checkpoint in ("first", "second"):
+        arriving = read_arrivals(spark, source)
+        publish_arrivals(arriving, landed, served, str(tmp_path / checkpoint), keys).awaitTermination()
+    expected = clean(drop_step(tx(spark, sf_dir)))
+    assert same(read_published(spark, served, TRANSFORMED_DATA, history=True).drop("batch"), expected)
+    assert os.listdir(landed) == ["batch=1"]
+
+
+def test_a_file_with_other_columns_is_an_error(spark, keys, tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    (source / "odd.csv").write_text("transactionID,step\n1,2\n")
+    arriving = read_arrivals(spark, str(source))
+    with pytest.raises(Exception):
+        land_arrivals(arriving, str(tmp_path / "landed"), str(tmp_path / "checkpoint"), keys).awaitTermination()
+
+
 # Command line and scratch space
 
 
