@@ -30,15 +30,19 @@ class Snapshot:
         return f"{self.root}/{table}/snapshot={self.name}"
 
     def write(self, table: str, rows: DataFrame, batch: int | None = None) -> DataFrame:
-        """Write a table of one batch, or of many batches told apart by ``batch``; returns what was written."""
+        """Write a table of one batch, or of many batches told apart by ``batch``; returns what was written.
+
+        Rows lie in a directory for each batch. Metric tables hold a few rows for each batch and are one file.
+        """
+        path, partitions = self._path(table), []
         if table != TRANSFORMED_DATA:
-            rows = rows.coalesce(1)  # a few rows for each batch
-        if batch is None:
-            write_table(rows, self._path(table), "batch")
-            return self.spark.read.schema(rows.schema).parquet(self._path(table))
-        path = batch_path(self._path(table), batch)
-        write_table(rows, path)
-        return self.spark.read.parquet(path)
+            rows = rows.coalesce(1) if batch is None else rows.coalesce(1).withColumn("batch", F.lit(batch))
+        elif batch is None:
+            partitions = ["batch"]
+        else:
+            path = batch_path(path, batch)
+        write_table(rows, path, *partitions)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def announce(self, batches: Iterable[int]) -> str:
         """Make the tables visible: one small file, which is there as a whole or not at all."""

@@ -93,23 +93,25 @@ def test_replacing_one_partition_leaves_the_others(spark, rows, tmp_path):
     }
 
 
-def test_one_pass_gives_what_twelve_runs_give(spark, rows, keys, tmp_path):
+def test_one_pass_gives_what_single_runs_give(spark, rows, keys, tmp_path):
     """With copies of rows within a batch and across its segments."""
     source = str(tmp_path / "source")
     table = rows.drop("_file", "_block", "_row")
     table.union(table.filter("transactionID between 90 and 310")).union(table.filter("transactionID < 5")).coalesce(1).write.parquet(source)
     copied = with_source_position(spark.read.parquet(source))
-    run_all(copied, str(tmp_path / "landed-all"), str(tmp_path / "served-all"), 150, keys)
-    for batch in range(1, BATCH_COUNT + 1):
-        run_batch(copied, str(tmp_path / "landed"), str(tmp_path / "served"), 150, batch, keys)
+    batches = 5
+    run_all(copied, str(tmp_path / "landed-all"), str(tmp_path / "served-all"), 400, keys, batches)
+    for batch in range(1, batches + 1):
+        run_batch(copied, str(tmp_path / "landed"), str(tmp_path / "served"), 400, batch, keys)
     for name in SERVED_TABLES:
         at_once = read_published(spark, str(tmp_path / "served-all"), name, history=True)
         one_by_one = read_published(spark, str(tmp_path / "served"), name, history=True)
         columns = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in at_once.dtypes]
         assert same(at_once.select(columns), one_by_one.select(columns)), name
-        assert same(read_published(spark, str(tmp_path / "served-all"), name), one_by_one.filter("batch = 12").drop("batch"))
+        latest = read_published(spark, str(tmp_path / "served-all"), name)
+        assert same(latest, one_by_one.filter(F.col("batch") == batches).drop("batch")), name
     stats = read_published(spark, str(tmp_path / "served-all"), FRAUD_STATS, history=True)
-    assert stats.count() == BATCH_COUNT
+    assert stats.count() == batches
     landed = spark.read.parquet(str(tmp_path / "landed-all"))
     assert landed.count() == copied.count()
 
