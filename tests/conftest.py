@@ -6,6 +6,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    derby_log = tmp_path_factory.mktemp("derby") / "derby.log"
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tallymill-tests")
@@ -14,7 +15,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={tmp_path_factory.mktemp('derby')}/derby.log")
+        .config("spark.sql.ui.retainedExecutions", "1")
+        .config("spark.driver.extraJavaOptions", f"-XX:TieredStopAtLevel=1 -Dderby.stream.error.file={derby_log}")
         .getOrCreate()
     )
     yield session
