@@ -116,7 +116,7 @@ def batch_read(spark, sf_dir):
 def jdbc_roundtrip(spark, sf_dir):
     url = spark.conf.get(_JDBC_URL_SETTING, _JDBC_URL)
     rows = cleaning.rename_type(tx(spark, sf_dir))
-    write_jdbc(rows, url, TRANSFORMED_DATA, column_types="transType VARCHAR(50), nameOrig VARCHAR(50), nameDest VARCHAR(50)")
+    write_jdbc(rows, url, TRANSFORMED_DATA, column_types=contract.TEXT_TYPES)
     return read_jdbc(spark, url, TRANSFORMED_DATA)
 
 

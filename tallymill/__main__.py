@@ -58,6 +58,8 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--landed", required=True)
         command.add_argument("--served", required=True)
         command.add_argument("--jdbc-url", help="replace the tables of this database as well")
+        command.add_argument("--truncate", action="store_true", help="keep the database tables as declared")
+        command.add_argument("--declared-types", action="store_true", help="store contract types in the database")
         command.add_argument("--preview", action="store_true", help="print the published tables")
 
     arrivals = commands.add_parser("arrivals", help="land CSV files that are new since the last run")
@@ -109,7 +111,8 @@ def _transform(spark: SparkSession, options: argparse.Namespace) -> None:
             _preview(table)
     if options.jdbc_url:
         account = {"user": os.environ.get(USER_VARIABLE), "password": os.environ.get(PASSWORD_VARIABLE)}
-        publish_jdbc(tables, options.jdbc_url, {name: value for name, value in account.items() if value})
+        properties = {name: value for name, value in account.items() if value}
+        publish_jdbc(tables, options.jdbc_url, properties, options.truncate, options.declared_types)
 
 
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:

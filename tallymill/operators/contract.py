@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallymill.schema import CONTRACT, CONTRACT_COLUMNS, CONTRACT_KEY, ColumnRule
 
 
+# Text columns with their declared length, as a database wants them.
+TEXT_TYPES = ", ".join(f"{rule.name} VARCHAR({rule.max_length})" for rule in CONTRACT if rule.max_length)
+
+
 class ContractError(ValueError):
     """The frame does not keep the contract."""
 

@@ -10,6 +10,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymill.operators.contract import TEXT_TYPES, conform
 from tallymill.schema import FLAGGED_FRAUD_ACCURACY, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
 from tallymill.sources.files import batch_path, write_table
 from tallymill.sources.jdbc import write_jdbc
@@ -73,9 +74,20 @@ def read_published(spark: SparkSession, root: str, table: str, history: bool = F
 
 
 def publish_jdbc(
-    tables: Mapping[str, DataFrame], url: str, properties: Mapping[str, str], truncate: bool = False
+    tables: Mapping[str, DataFrame],
+    url: str,
+    properties: Mapping[str, str],
+    truncate: bool = False,
+    declared_types: bool = False,
 ) -> None:
-    """Replace the database tables, the large one first: a failed load then leaves the metrics as they were."""
+    """Replace the database tables, the large one first: a failed load then leaves the metrics as they were.
+
+    With ``declared_types`` the transactions are stored in the types of the contract, not in those of the frame.
+    """
     for name in SERVED_TABLES:
-        rows = tables[name] if name == TRANSFORMED_DATA else tables[name].coalesce(1)
-        write_jdbc(rows, url, name, properties, truncate=truncate)
+        if name != TRANSFORMED_DATA:
+            write_jdbc(tables[name].coalesce(1), url, name, properties, truncate)
+        elif declared_types:
+            write_jdbc(conform(tables[name]), url, name, properties, truncate, column_types=TEXT_TYPES)
+        else:
+            write_jdbc(tables[name], url, name, properties, truncate)

@@ -31,6 +31,20 @@ def test_copies_and_unlabelled_rows_go(spark):
     assert sorted(map(tuple, cleaned.collect()), key=str) == [("A", 1.0, True, False), ("B", None, False, None)]
 
 
+def test_labels_that_are_not_a_number_go(spark):
+    rows = landed(spark, ("A", float("nan")), ("B", None), ("C", 1.0), schema="type string, isFraud double")
+    assert [row["type"] for row in drop_null_labels(rows).collect()] == ["C"]
+    decimals = landed(spark, ("A", Decimal(1)), ("B", None), schema="type string, isFraud decimal(1,0)")
+    assert [row["type"] for row in drop_null_labels(decimals).collect()] == ["A"]
+
+
+def test_the_label_test_reaches_the_files(spark, tmp_path):
+    landed(spark, ("A", 1.0, 1, 0)).write.parquet(str(tmp_path / "rows"))
+    cleaned = clean(spark.read.parquet(str(tmp_path / "rows")))
+    plan = cleaned._sc._jvm.PythonSQLUtils.explainString(cleaned._jdf.queryExecution(), "formatted")
+    assert "PushedFilters: [IsNotNull(isFraud)]" in plan
+
+
 def test_absent_columns_are_no_error(spark):
     rows = landed(spark, ("x",), schema="other string")
     assert drop_step(rows).columns == ["other"]

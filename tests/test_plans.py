@@ -11,7 +11,7 @@ from tallymill.functions.tokens import TokenKeys, decrypt_columns
 from tallymill.operators import metrics
 from tallymill.operators.batching import batch_slice, fan_out
 from tallymill.operators.cleaning import clean, drop_step
-from tallymill.operators.contract import ContractError
+from tallymill.operators.contract import ContractError, conform
 from tallymill.operators.position import with_source_position
 from tallymill.plans.ingest import ingest_all, ingest_batch, protect
 from tallymill.plans.publish import SERVED_TABLES, Snapshot, publish_jdbc, read_published
@@ -216,6 +216,10 @@ def test_served_tables_reach_the_database(spark, rows, keys, database, tmp_path)
     publish_jdbc(tables, database, {})
     for name, table in tables.items():
         assert same(read_jdbc(spark, database, name), table), name
+    publish_jdbc(tables, database, {}, declared_types=True)
+    stored = read_jdbc(spark, database, TRANSFORMED_DATA)
+    assert dict(stored.dtypes)["amount"] == "decimal(15,2)"
+    assert same(stored, conform(tables[TRANSFORMED_DATA]))
 
 
 def test_postgres_url():
