@@ -526,7 +526,9 @@ def oracle_sql() -> dict[str, str]:
                    count(CASE WHEN "type" = 'CASH_OUT' THEN 1 END) AS readable FROM tx GROUP BY "type" """,
         "schema_check": """
             SELECT column_name AS "column", CASE column_name WHEN 'transType' THEN 'missing' WHEN 'step' THEN 'extra'
-                   WHEN 'type' THEN 'extra' ELSE 'ok' END AS status
+                   WHEN 'type' THEN 'extra' ELSE 'ok' END AS status,
+                   CASE column_name WHEN 'transType' THEN 0 WHEN 'isFraud' THEN (SELECT count("isFraud") FROM tx)
+                   ELSE (SELECT count(*) FROM tx) END AS "values"
             FROM (SELECT unnest(['step', 'transactionID', 'type', 'amount', 'nameOrig', 'oldbalanceOrg',
                    'newbalanceOrig', 'nameDest', 'oldbalanceDest', 'newbalanceDest', 'isFraud', 'isFlaggedFraud',
                    'timestamp', 'transType']) AS column_name)""",

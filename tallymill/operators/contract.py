@@ -24,8 +24,18 @@ def column_status(columns: list[str]) -> dict[str, str]:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    rows = sorted(column_status(df.columns).items())
-    return df.sparkSession.createDataFrame(rows, "column string, status string")
+    """Each expected or present column, its status, and how many values it holds."""
+    status = column_status(df.columns)
+    counts = df.agg(*[F.count(F.col(f"`{name}`")).alias(name) for name in df.columns])
+    rows = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.lit(found).alias("status"),
+            (F.lit(0).cast("bigint") if found == "missing" else F.col(f"`{name}`")).alias("values"),
+        )
+        for name, found in sorted(status.items())
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def require_columns(df: DataFrame) -> DataFrame:

@@ -41,6 +41,16 @@ def test_column_set_in_any_order(spark):
 
 
 def test_schema_report(spark):
+    wrong = table(spark, {}, dict(amount=None)).drop("isFraud").withColumnRenamed("transType", "trans.type")
+    report = {row["column"]: (row["status"], row["values"]) for row in schema_report(wrong).collect()}
+    assert report.pop("isFraud") == ("missing", 0)
+    assert report.pop("transType") == ("missing", 0)
+    assert report.pop("trans.type") == ("extra", 2)
+    assert report.pop("amount") == ("ok", 1)
+    assert {status for status, _ in report.values()} == {"ok"}
+
+
+def test_schema_report_is_case_sensitive(spark):
     renamed = table(spark, {}).withColumnRenamed("isFraud", "isfraud")
     wrong = {row["column"]: row["status"] for row in schema_report(renamed).collect() if row["status"] != "ok"}
     assert wrong == {"isFraud": "missing", "isfraud": "extra"}

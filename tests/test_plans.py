@@ -1,6 +1,7 @@
 """Landing, transforming, publishing and streaming end to end."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -295,6 +296,18 @@ def test_command_line(spark, sf_dir, rows, tmp_path, monkeypatch, capsys, databa
         run(spark, ["ingest", "2", "--source", staged, "--landed", landed])
 
 
-def test_scratch_follows_the_setting(spark, monkeypatch):
+class Session:
+    """A session as far as scratch paths look at it."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default)
+
+
+def test_scratch_follows_the_setting(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(Session("yarn", "hdfs://shared/"), "x").startswith("hdfs://shared/tallymill/x-")
+    assert os.path.isabs(scratch_path(Session("local[4]"), "x"))
+    with pytest.raises(RuntimeError):
+        scratch_path(Session("yarn"), "x")
