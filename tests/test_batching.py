@@ -33,15 +33,15 @@ def ids(df):
     return sorted(row["id"] for row in df.select("id").collect())
 
 
-def scanned_files(df):
-    """Files that the scan of an executed frame has opened."""
+def scan_metric(df, name):
+    """What the scan of an executed frame has counted: files opened or rows read."""
     df._jdf.collectToPython()
 
     def walk(plan):
         found = []
         metrics = plan.metrics()
         if metrics.contains("numFiles"):
-            found.append(metrics.apply("numFiles").value())
+            found.append(metrics.apply(name).value())
         children = plan.children()
         for number in range(children.size()):
             found += walk(children.apply(number))
@@ -66,8 +66,8 @@ def test_cuts_of_all_ranks(many_files):
 
 
 def test_a_slice_opens_only_its_files(many_files):
-    everything = scanned_files(slice_rows(many_files, 0, 63))
-    one_file = scanned_files(slice_rows(many_files, 10, 20))
+    everything = scan_metric(slice_rows(many_files, 0, 63), "numFiles")
+    one_file = scan_metric(slice_rows(many_files, 10, 20), "numFiles")
     assert everything == [len(SIZES)]
     assert one_file[0] < everything[0] - 2
 
@@ -172,6 +172,15 @@ def test_key_order_keeps_source_order_of_ties(spark, many_files, tmp_path):
         assert ids(slice_rows(ordered, start, end)) == sorted(expected[start:end])
 
 
+def test_a_slice_in_key_order_skips_row_groups(spark, tmp_path):
+    spark.range(8000).selectExpr("id", "8000 - id AS key").repartition(3).write.parquet(str(tmp_path / "source"))
+    rows = with_source_position(spark.read.parquet(str(tmp_path / "source")))
+    ordered = stage_in_key_order(rows, ["key"], str(tmp_path / "ordered"), partitions=16)
+    found = slice_rows(ordered, 1000, 1500)
+    assert ids(found) == list(range(6500, 7000))
+    assert scan_metric(slice_rows(ordered, 1000, 1500), "numOutputRows")[0] < 3000
+
+
 def multiset(df):
     return Counter(tuple(row) for row in df.collect())
 
