@@ -31,6 +31,14 @@ from tallymill.sources import files
 from tallymill.sources.jdbc import read_jdbc, write_jdbc
 from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals, publish_arrivals, read_arrivals
 
+try:  # the operators on training text and their pipeline may be absent
+    import corpus_pipeline
+    from tallymill.llm import queries as training_text
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tallymill.llm"):
+        raise
+    corpus_pipeline = training_text = None
+
 _SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The key of the public Fernet test vector.
@@ -356,7 +364,7 @@ def stream_batches(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "row_count": row_count,
         "csv_ingest": csv_ingest,
         "csv_inferred": csv_inferred,
@@ -408,6 +416,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_fraud_by_type": stream_fraud_by_type,
         "stream_batches": stream_batches,
     }
+    if training_text:
+        found |= training_text.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 _TX = """
@@ -567,4 +578,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT batch, {_BY_TYPE} FROM (SELECT *, CASE WHEN "isFlaggedFraud" THEN 1 ELSE 2 END AS batch FROM cleaned)
             GROUP BY batch, "transType" """,
     }
-    return {name: f"WITH {_TX} {statement}" for name, statement in statements.items()}
+    found = {name: f"WITH {_TX} {statement}" for name, statement in statements.items()}
+    if training_text:
+        found |= training_text.oracle_sql()
+    return found
