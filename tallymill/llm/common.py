@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +30,38 @@ def whole_text(name: str = "text") -> Column:
 def lowered(text: Column) -> Column:
     """A-Z in lower case and nothing else."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def by_row(df: DataFrame, make: Callable[[str], list[tuple]], schema: str) -> DataFrame:
+    """Any number of rows for each row of ``df``, whose last column is a text.
+
+    ``make`` sees the text; each tuple that it returns follows the other columns. Those, ids among them, stay in Arrow, so
+    that a null among them turns no number into a float. ``schema`` names the columns of the tuples.
+    """
+    names = df.columns[:-1]
+    kinds = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+    added = [x.split()[0] for x in schema.split(", ")]
+    types = [_ARROW[x.split()[1]] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            which, rows = [], []
+            for i, text in enumerate(batch.column(len(names)).to_pylist()):
+                found = make(text)
+                which += [i] * len(found)
+                rows += found
+            taken = batch.select(names).take(pa.array(which, pa.int64()))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(added)
+            arrays = [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*taken.columns, *arrays], names=[*names, *added])
+
+    return df.mapInArrow(run, f"{kinds}, {schema}")
+
+
+_ARROW = {
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "binary": pa.binary(),
+    "string": pa.string(),
+    "boolean": pa.bool_(),
+}

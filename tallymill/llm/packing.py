@@ -6,16 +6,14 @@ import base64
 import functools
 import zlib
 from array import array
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import saved, whole_text
+from tallymill.llm.common import by_row, saved, whole_text
 from tallymill.llm.tokens import SETTLED, Kept, chunks, load
 
 CAPACITY = 2048
@@ -84,24 +82,15 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
 
 def pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document's ids and the end id, cut after every ``capacity`` ids."""
-    id_type = docs.schema[doc_id].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for key, x in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = token_ids(x, path, ranks) + end
-                count = len(ids) // 4
-                for start in range(0, count, capacity):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((key, start, len(part) // 4, zlib.crc32(part), count))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            out["doc_id"] = out["doc_id"].astype("Int64") if id_type in ("bigint", "int") else out["doc_id"]
-            yield out
-
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
+
+    def make(text: str) -> list[tuple]:
+        ids = token_ids(text, path, ranks) + array("I", [END_ID]).tobytes()
+        count = len(ids) // 4
+        parts = ((start, ids[4 * start : 4 * (start + capacity)]) for start in range(0, count, capacity))
+        return [(start, len(part) // 4, zlib.crc32(part), count) for start, part in parts]
+
+    return by_row(rows, make, "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
 
 
 def pack(
@@ -125,16 +114,13 @@ def pack(
     total = cut.agg(F.count("*").alias("pieces"), F.sum("length").alias("tokens")).first()
     groups = max(1, -(-(total["tokens"] or 0) // GROUP_TOKENS), -(-total["pieces"] // GROUP_PIECES))
 
-    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("row")
-        where, offset = first_fit_decreasing(rows["length"].tolist(), capacity)
-        rows["sequence_id"] = (int(key[0]) << 32) + np.array(where, np.int64)
-        rows["offset"] = np.array(offset, np.int64)
-        return rows[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
+    def fill(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("row")
+        where, offset = first_fit_decreasing(rows["length"].to_pylist(), capacity)
+        first = rows["part"][0].as_py() << 32
+        rows = rows.append_column("sequence_id", pa.array([first + bin_ for bin_ in where], pa.int64()))
+        return rows.append_column("offset", pa.array(offset, pa.int64())).drop_columns(["row", "part"])
 
     dealt = cut.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    id_type = docs.schema[doc_id].dataType.simpleString()
-    return dealt.groupBy("part").applyInPandas(
-        fill,
-        f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
-    )
+    kinds = ", ".join(f"{n} {t}" for n, t in cut.drop("row").dtypes)
+    return dealt.groupBy("part").applyInArrow(fill, f"{kinds}, sequence_id bigint, offset bigint")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import exact, packing, quality, simhash, tiling, tokens
+from tallymill.llm import exact, packing, quality, simhash, tiling, tokens, warc
 from tallymill.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     counts = tokens.prefix_counts(table(spark, sf_dir, "documents"), path, budgets=(TOKEN_LIMIT,), keep=False)
@@ -57,6 +61,17 @@ _EXACT = """
            doc_id = max(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
     FROM digests"""
 
+_CAPTURES = """
+    WITH payloads AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    stored AS (
+        SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM payloads)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+    FROM stored"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": _EXACT}
+    return {"op3_exact_dedup": _EXACT, "op7_warc": _CAPTURES}

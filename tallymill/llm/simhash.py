@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import saved, whole_text
+from tallymill.llm.common import by_row, saved, whole_text
 from tallymill.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -62,15 +62,13 @@ def fingerprint(text: str | None, size: int = WORDS_PER_SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS_PER_SHINGLE) -> DataFrame:
     """``doc_id, mark, fp``: a hash of the text, and the fingerprint as a signed long with the same 64 bits."""
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _mark(text).alias("mark"), whole_text(text).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            prints = np.array([fingerprint(x, size) for x in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "mark": batch["mark"], "fp": prints})
+    def make(text: str) -> list[tuple]:
+        value = fingerprint(text, size)
+        return [(value - (1 << 64) if value >> 63 else value,)]
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), _mark(text).alias("mark"), whole_text(text).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {id_type}, mark bigint, fp bigint")
+    return by_row(rows, make, "fp bigint")
 
 
 def _mark(text: str) -> Column:

@@ -8,17 +8,16 @@ cover most of the item's words, in whatever order they stand.
 
 from __future__ import annotations
 
+import functools
 import string
-from collections.abc import Iterator
 from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import saved, whole_text
+from tallymill.llm.common import by_row, saved, whole_text
 
 SEED_WORDS = 5
 LEAST_COVERAGE = 0.8
@@ -163,35 +162,23 @@ def contaminated(
     null or empty documents contaminated. Rows that repeat an id are reported each, null ids as null. An empty table on
     either side gives an empty result. Other columns are not read. ``mark`` is a hash of the text.
     """
-    spark = docs.sparkSession
-    key, item_type = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {key}, mark bigint, item_id {item_type}, item_words bigint, tiles bigint, tiled_words bigint, coverage double"
+    kind = benchmark.schema[item_id].dataType.simpleString()
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col("text").alias("text"))
     total = items.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
-    blocks = -(-total // BLOCK_BYTES)
+    blocks = max(1, -(-total // BLOCK_BYTES))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("mark"), whole_text(text).alias("text"))
 
     def one(block: Block) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                found = [
-                    (None if pd.isna(d) else d, m, *hit, hit[3] / hit[1])
-                    for d, m, x in zip(batch["doc_id"], batch["mark"], batch["text"], strict=True)
-                    for hit in compare(x, block, size, least)
-                ]
-                out = pd.DataFrame(found, columns=["doc_id", "mark", "item_id", "item_words", "tiles", "tiled_words", "coverage"])
-                for name, kind in (("doc_id", key), ("item_id", item_type)):
-                    out[name] = out[name].astype("Int64") if kind in ("int", "bigint") else out[name]
-                yield out
-
-        return rows.mapInPandas(run, schema)
-
-    result = None
+        def make(text: str) -> list[tuple]:
+            return [(*hit, hit[3] / hit[1]) for hit in compare(text, block, size, least)]
+
+        return by_row(rows, make, f"item_id {kind}, item_words bigint, tiles bigint, tiled_words bigint, coverage double")
+
+    found = []
     for i in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-        found = one(make_block([(r["item_id"], r["text"]) for r in part.collect()], size))
-        result = found if result is None else result.unionByName(found)
-    return spark.createDataFrame([], schema) if result is None else result
+        found.append(one(make_block([(r["item_id"], r["text"]) for r in part.collect()], size)))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,15 +15,13 @@ import json
 import re
 import string
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymill.llm.common import whole_text
+from tallymill.llm.common import by_row, whole_text
 
 #: Chunks, and words without what follows them, that a worker keeps; beyond that it starts anew.
 KEPT_CHUNKS = 700_000
@@ -274,28 +272,21 @@ def prefix_counts(
     longest prefix of at most B tokens. A null text counts as empty, with 0 tokens. Rows are independent: ties, repeated and null ids
     are reported as they come; an empty table gives an empty result. Other columns are not read.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
-    cuts = [f"cut_{b}" for b in budgets]
-    schema = f"doc_id {id_type}, n_bytes bigint, n_tokens bigint" + ", prefix binary" * keep + "".join(f", {c} bigint" for c in cuts)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = counter(path)
-        for batch in batches:
-            tables = [count.prefix_changes(x) for x in batch["text"]]
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"]})
-            out["n_tokens"] = np.array([t.sum(dtype=np.int64) for t in tables], np.int64)
-            if keep:
-                out["prefix"] = [t.tobytes() for t in tables]
-            for budget, name in zip(budgets, cuts, strict=True):
-                out[name] = np.array([longest_prefix(t, budget) for t in tables], np.int64)
-            yield out
-
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
-        whole_text(text).alias("text"),
         F.octet_length(whole_text(text)).cast("bigint").alias("n_bytes"),
+        whole_text(text).alias("text"),
     )
-    return rows.mapInPandas(run, schema)
+
+    def make(text: str) -> list[tuple]:
+        table = counter(path).prefix_changes(text)
+        row = [int(table.sum(dtype=np.int64))]
+        if keep:
+            row.append(table.tobytes())
+        return [(*row, *(longest_prefix(table, budget) for budget in budgets))]
+
+    schema = "n_tokens bigint" + ", prefix binary" * keep + "".join(f", cut_{b} bigint" for b in budgets)
+    return by_row(rows, make, schema)
 
 
 def tokens_before(changes: bytes, length: int) -> int:
