@@ -45,19 +45,23 @@ def by_row(df: DataFrame, make: Callable[[str], list[tuple]], schema: str) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            which, rows = [], []
-            for i, text in enumerate(batch.column(len(names)).to_pylist()):
-                found = make(text)
-                which += [i] * len(found)
-                rows += found
-            taken = batch.select(names).take(pa.array(which, pa.int64()))
-            columns = zip(*rows, strict=True) if rows else [[]] * len(added)
-            arrays = [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*taken.columns, *arrays], names=[*names, *added])
+            for part in (batch.slice(i, _TEXTS) for i in range(0, batch.num_rows, _TEXTS)):
+                which, rows = [], []
+                for i, text in enumerate(part.column(len(names)).to_pylist()):
+                    found = make(text)
+                    which += [i] * len(found)
+                    rows += found
+                taken = part.select(names).take(pa.array(which, pa.int64()))
+                columns = zip(*rows, strict=True) if rows else [[]] * len(added)
+                arrays = [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*taken.columns, *arrays], names=[*names, *added])
 
     return df.mapInArrow(run, f"{kinds}, {schema}")
 
 
+#: Texts that a worker holds as Python objects at a time.
+_TEXTS = 256
+
 _ARROW = {
     "bigint": pa.int64(),
     "double": pa.float64(),

@@ -30,7 +30,7 @@ TRAINING_DOCUMENTS = 4000
 BUCKETS = 1024
 #: Documents that score less are rejected. Scores of very short texts lie between those of good and bad ones.
 KEEP_FROM = 0.2
-_KEPT_WORDS = 500_000
+_KEPT_WORDS = 200_000
 _PUNCTUATION = ".,;:!?\"'()-"
 _MARKS = "%&$*#|!@^~<>{}[]=+\\"
 
@@ -198,17 +198,12 @@ def fit(docs: DataFrame, text: str = "text", training: int = TRAINING_DOCUMENTS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            split = [x.split() for x in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "pattern": [pattern(votes(x, words)) if words else -1 for x, words in zip(batch["text"], split, strict=True)],
-                    "hash": batch["hash"],
-                    "features": [
-                        features(words).tobytes() if words and chosen else None
-                        for words, chosen in zip(split, batch["chosen"], strict=True)
-                    ],
-                }
-            )
+            found = []
+            for text, hashed, chosen in zip(batch["text"], batch["hash"], batch["chosen"], strict=True):
+                words = text.split()
+                inputs = features(words).tobytes() if words and chosen else None
+                found.append((pattern(votes(text, words)) if words else -1, hashed, inputs))
+            yield pd.DataFrame(found, columns=["pattern", "hash", "features"])
 
     share = F.pmod(F.col("hash"), F.lit(1_000_003)) / 1_000_003
     rows = docs.select(whole_text(text).alias("text")).withColumn("hash", F.xxhash64("text"))

@@ -24,9 +24,9 @@ from tokenizers import Tokenizer
 from tallymill.llm.common import by_row, whole_text
 
 #: Chunks, and words without what follows them, that a worker keeps; beyond that it starts anew.
-KEPT_CHUNKS = 700_000
-KEPT_WORDS = 600_000
-KEPT_PAIRS = 1_500_000
+KEPT_CHUNKS = 250_000
+KEPT_WORDS = 350_000
+KEPT_PAIRS = 600_000
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 #: An apostrophe may begin a piece that holds letters.

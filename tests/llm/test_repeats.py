@@ -1,0 +1,110 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallymill.llm import induced, queries, repeats
+
+
+def plain_order(text):
+    return sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+def plain_prefix(text, a, b):
+    count = 0
+    while max(a, b) + count < len(text) and text[a + count] == text[b + count]:
+        count += 1
+    return count
+
+
+def strings(rng):
+    for _ in range(150):
+        yield rng.integers(1, rng.integers(2, 5), rng.integers(1, 60))
+    yield np.ones(50, int)
+    yield np.tile([1, 2], 30)
+    yield np.tile(rng.integers(1, 4, 11), 6)
+
+
+def test_suffix_arrays_and_common_prefixes():
+    for text in strings(np.random.default_rng(2)):
+        text = np.concatenate([text, [0]]).astype(np.int64)
+        order = induced.suffix_array(text, int(text.max()) + 1)
+        assert order.tolist() == plain_order(text)
+        assert induced._doubled(text).tolist() == plain_order(text)
+        previous, length = induced.permuted_prefixes(text, order)
+        for a, b in zip(order[:-1], order[1:], strict=True):
+            assert previous[b] == a and length[b] == plain_prefix(text, a, b)
+
+
+def expected(rows):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    count = Counter(t[k : k + 200] for _, t in texts for k in range(len(t) - 199))
+    out = []
+    for i, t in texts:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 199):
+            if count[t[k : k + 200]] > 1:
+                gone[k : k + 200] = True
+        runs = int((np.diff(np.concatenate([[0], gone, [0]])) == 1).sum())
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        out.append((i, len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def prose(rng, count):
+    return " ".join(f"{rng.choice(['ä', 'b', 'cd'])}{rng.integers(0, 400)}" for _ in range(count))
+
+
+def rows_with_repeats():
+    rng = np.random.default_rng(4)
+    shared = prose(rng, 120)
+    rows = [(i, prose(rng, 40) + shared + prose(rng, 40)) for i in range(12)]
+    rows += [(20 + i, prose(rng, 20) + shared[i * 7 : i * 7 + 200 + i] + prose(rng, 30)) for i in range(20)]
+    edited = prose(rng, 400)
+    rows += [(50 + i, edited[: 90 * i] + "!" + edited[90 * i + 1 :]) for i in range(12)]
+    rows += [(70, "ab" * 300), (71, "x" * 199), (72, "x" * 200), (73, "y" * 201), (74, None), (75, ""), (None, edited), (None, "alone " * 3)]
+    rows += [(80, prose(rng, 60)), (80, prose(rng, 60)), (81, shared), (81, shared)]
+    return rows
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id bigint, text string, row int, kind string")
+
+
+@pytest.mark.parametrize("kind_limit, shard, part", [(4096, 8192, 1 << 18), (2, 20, 700)])
+def test_removal_agrees_with_brute_force(spark, monkeypatch, kind_limit, shard, part):
+    monkeypatch.setattr(repeats, "KIND_STRETCHES", kind_limit)
+    monkeypatch.setattr(repeats, "SHARD_STRETCHES", shard)
+    rows = rows_with_repeats()
+    found = repeats.remove_repeats(frame(spark, rows), texts_too=True).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == expected(rows)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
+
+
+def test_stretches_hold_every_window_once():
+    rng = np.random.default_rng(6)
+    data = (prose(rng, 3000) + "z" * 1000 + prose(rng, 200)).encode()
+    for cut in (data, data[:200], data[:199], b""):
+        _, _, _, low, high = repeats.stretches(cut)
+        covered = sorted(w for a, b in zip(low, high, strict=True) for w in range(a, b + 1))
+        assert covered == list(range(max(0, len(cut) - 199)))
+
+
+def test_long_texts_are_hashed_in_parts(spark):
+    rng = np.random.default_rng(8)
+    shared = prose(rng, 100)
+    long = prose(rng, 60_000) + shared + prose(rng, 40_000)
+    found = repeats.remove_repeats(frame(spark, [(1, long), (2, "x " + shared)])).collect()
+    assert sorted((r.doc_id, r.n_removed > 200, r.n_spans) for r in found) == [(1, True, 1), (2, True, 1)]
+
+
+def test_empty_table(spark):
+    assert repeats.remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_query_agrees_with_brute_force(spark, sf_dir):
+    docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = queries.op4_suffix_array_dedup(spark, sf_dir).select(*names).collect()
+    assert sorted(map(tuple, found), key=str) == expected(docs)
