@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import exact, packing, quality, repeats, simhash, tiling, tokens, warc
+from tallymill.llm import exact, licences, packing, quality, repeats, secret_scan, simhash, tiling, tokens, warc
 from tallymill.llm.common import table
 
 
@@ -16,6 +16,13 @@ TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths: each is filed under its source, in directories of 400 and of 20."""
+    docs = table(spark, sf_dir, "documents")
+    parts = F.col("source"), F.expr("doc_id div 400"), F.expr("doc_id div 20 % 20"), F.concat("doc_id", F.lit(".txt"))
+    return licences.scan_licences(docs.withColumn("path", F.concat_ws("/", *parts)), "path")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -42,6 +49,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     counts = tokens.prefix_counts(table(spark, sf_dir, "documents"), path, budgets=(TOKEN_LIMIT,), keep=False)

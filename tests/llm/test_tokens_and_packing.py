@@ -1,0 +1,155 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tallymill.llm import packing, queries, tokens
+
+PATH, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+LIBRARY = Tokenizer.from_file(PATH)
+
+TEXTS = [
+    "",
+    " ",
+    "   ",
+    "one",
+    " two  words ",
+    "don't we'll I'd 'twas x's''re",
+    "a\n\nb \n c\t\td\r\ne  　 f\x0bg\x1ch\x85i\xa0j",
+    "<|endoftext|>",
+    "foo  <|endoftext|>  bar<|endoftext|><|endof text|> <|endoftext",
+    "naïve Ångström ΑΒΓ абв 你好 世界 😀😀 é ١٢٣ ½ ²",
+    "=" * 300 + " " + "a" * 300,
+    "word." * 200,
+    "x1y2 3.14 foo_bar --- ... !!! end.\nStart (a) [b] {c}%%% At&&&",
+    "line\n" * 50 + "\n\n\n",
+]
+
+
+def ids(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_every_prefix_is_counted_as_the_library_counts_it(text):
+    counts = np.cumsum(tokens.counter(PATH).prefix_changes(text), dtype=np.int64)
+    assert counts.tolist() == [len(ids(text[:i])) for i in range(1, len(text) + 1)]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_are_the_library_s(text):
+    assert np.frombuffer(packing.token_ids(text, PATH, RANKS), "<u4").tolist() == ids(text)
+
+
+def test_random_texts():
+    rng = np.random.default_rng(9)
+    alphabet = list("ab'sTt1 .,\n\t é你") + ["  ", "the", "ing", "<|endoftext|>"]
+    for _ in range(300):
+        text = "".join(rng.choice(alphabet, rng.integers(1, 30)))
+        counts = np.cumsum(tokens.counter(PATH).prefix_changes(text), dtype=np.int64)
+        assert counts.tolist() == [len(ids(text[:i])) for i in range(1, len(text) + 1)], text
+        assert np.frombuffer(packing.token_ids(text, PATH, RANKS), "<u4").tolist() == ids(text), text
+
+
+def test_all_characters_that_the_quicker_library_takes_and_others():
+    """Beside letters, digits, marks and spaces, in texts of many chunks."""
+    for first in (*range(0, 0x3000, 0x200), 0xD000, 0xFE00, 0x1F600, 0xE0000):
+        chars = [chr(c) for c in range(first, first + 0x200) if not 0xD800 <= c < 0xE000]
+        text = " ".join(f"a{c} {c}b{c}1 .{c}" for c in chars)
+        expected = ids(text)
+        assert np.frombuffer(packing.token_ids(text, PATH, RANKS), "<u4").tolist() == expected, hex(first)
+        assert int(tokens.counter(PATH).prefix_changes(text).sum(dtype=np.int64)) == len(expected), hex(first)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id bigint, text string, row long, length int")
+
+
+ROWS = [(1, "a b c"), (1, "a b c"), (2, None), (3, ""), (None, "no id"), (2**60 + 1, "large id"), (4, "word " * 9000)]
+
+
+def test_counts_and_cuts(spark):
+    found = tokens.prefix_counts(frame(spark, ROWS), PATH, budgets=(2, 512)).collect()
+    expected = []
+    for i, t in ROWS:
+        t = t or ""
+        sizes = [len(ids(t[:k])) for k in range(1, min(len(t), 3000) + 1)]
+        cuts = [max((k + 1 for k, n in enumerate(sizes) if n <= b), default=0) for b in (2, 512)]
+        expected.append((i, len(t.encode()), len(ids(t)), *cuts))
+    assert sorted(((r.doc_id, r.n_bytes, r.n_tokens, r.cut_2, r.cut_512) for r in found), key=str) == sorted(expected, key=str)
+    for r in found:
+        assert tokens.tokens_before(r.prefix, len(r.prefix)) == r.n_tokens
+
+
+def test_token_query_agrees_with_the_library(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    found = queries.op9_token_counts(spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in found) == sorted(
+        (d.doc_id, len(d.text.encode()), n := len(ids(d.text)), n > 512) for d in docs
+    )
+
+
+def check_packing(docs, rows, capacity):
+    """Every id lies in exactly one piece, pieces follow each other in their sequence, and none is too long."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    left = {i: sorted([*ids(t or ""), 1] for j, t in docs if i == j) for i, _ in docs}
+    for i, own in pieces.items():
+        by_text = defaultdict(list)
+        for r in own:
+            by_text[r.doc_tokens].append(r)
+        for text in left.pop(i):
+            same = by_text[len(text)]
+            at = 0
+            while at < len(text):
+                piece = next(r for r in same if r.start == at and r.ids_crc32 == zlib.crc32(np.array(text[at : at + r.length], "<u4").tobytes()))
+                same.remove(piece)
+                at += piece.length
+        assert not any(by_text.values())
+    assert not left
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= capacity
+    return sum(r.length for r in rows) / (len(sequences) * capacity)
+
+
+def test_packing_is_whole(spark):
+    assert check_packing(ROWS, packing.pack(frame(spark, ROWS)).collect(), 2048) > 0.7
+    assert packing.pack(frame(spark, [])).collect() == []
+    assert tokens.prefix_counts(frame(spark, []), PATH).collect() == []
+
+
+def test_packing_query_is_whole_and_dense(spark, sf_dir):
+    docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert check_packing(docs, queries.op10_packing(spark, sf_dir).collect(), 2048) > 0.98
+
+
+def test_groups_are_packed_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20)
+    docs = [(i, "word " * (i % 90)) for i in range(200)]
+    rows = packing.pack(frame(spark, docs), capacity=100).collect()
+    assert check_packing(docs, rows, 100) > 0.85
+    assert len({r.sequence_id >> 32 for r in rows}) > 5
+
+
+def test_first_fit_decreasing_agrees_with_a_plain_scan():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        sizes = rng.integers(1, 101, rng.integers(1, 80)).tolist()
+        room, where, offset = [], {}, {}
+        for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+            b = next((b for b, r in enumerate(room) if r >= sizes[i]), len(room))
+            if b == len(room):
+                room.append(100)
+            where[i], offset[i] = b, 100 - room[b]
+            room[b] -= sizes[i]
+        found = packing.first_fit_decreasing(sizes, 100)
+        assert found == ([where[i] for i in range(len(sizes))], [offset[i] for i in range(len(sizes))])
