@@ -116,6 +116,9 @@ def _long(values: np.ndarray) -> pa.Array:
 
 
 def _all_stretches(texts: DataFrame) -> DataFrame:
+    """The stretches of all texts. Of those that are equal within a few texts, all are ``known`` to be repeated, and only one
+    is ``sent`` on, so runs of one pattern and common passages don't meet in one place."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
@@ -123,13 +126,19 @@ def _all_stretches(texts: DataFrame) -> DataFrame:
                 found = [stretches(_unpacked(packed)) for packed in part["packed"]]
                 rows = np.repeat(part["row"].to_numpy(), [len(x[0]) for x in found])
                 kind, first, second, low, high = (np.concatenate(columns) for columns in zip(*found, strict=True))
+                order = np.lexsort((second, first, kind))
+                kind, first, second, rows, low, high = (x[order] for x in (kind, first, second, rows, low, high))
+                again = np.zeros(len(kind), bool)
+                again[1:] = (kind[1:] == kind[:-1]) & (first[1:] == first[:-1]) & (second[1:] == second[:-1])
+                known = again.copy()
+                known[:-1] |= again[1:]
                 yield pa.RecordBatch.from_arrays(
-                    [_long(kind), _long(first), _long(second), _long(rows), pa.array(low, pa.int64()), pa.array(high - low, pa.int32())],
-                    names=["kind", "first", "second", "row", "low", "more"],
+                    [*map(_long, (kind, first, second, rows, low)), pa.array(high - low, pa.int32()), pa.array(known), pa.array(~again)],
+                    names=["kind", "first", "second", "row", "low", "more", "known", "sent"],
                 )
 
     return texts.select("row", "packed").mapInArrow(
-        run, "kind bigint, first bigint, second bigint, row bigint, low bigint, more int"
+        run, "kind bigint, first bigint, second bigint, row bigint, low bigint, more int, known boolean, sent boolean"
     )
 
 
@@ -145,11 +154,15 @@ def _judge(found: DataFrame) -> DataFrame:
     several = (F.min("first").over(of_kind) != F.max("first").over(of_kind)) | (
         F.min("second").over(of_kind) != F.max("second").over(of_kind)
     )
-    return (
-        found.withColumns({"before": same(F.lag), "behind": same(F.lead), "several": several})
-        .select("kind", "row", "low", "more", (F.col("before") | F.col("behind")).alias("repeated"), (~F.col("before") & F.col("several")).alias("fetch"))
+    repeated = F.col("before") | F.col("behind") | F.col("known")
+    judged = (
+        found.filter("sent")
+        .withColumns({"before": same(F.lag), "behind": same(F.lead), "several": several})
+        .select("kind", "row", "low", "more", repeated.alias("repeated"), (~F.col("before") & F.col("several")).alias("fetch"))
         .filter("repeated OR fetch")
     )
+    others = found.filter("NOT sent").select("kind", "row", "low", "more", F.lit(True).alias("repeated"), F.lit(False).alias("fetch"))
+    return judged.unionByName(others)
 
 
 def _fetched(texts: DataFrame, asked: DataFrame) -> DataFrame:
@@ -223,7 +236,7 @@ def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def spans(texts: DataFrame) -> DataFrame:
     """``row, low, more``: ranges of places where a repeated window starts."""
-    marks = saved(_judge(_all_stretches(texts)), "stretches")
+    marks = saved(_judge(saved(_all_stretches(texts), "stretches")), "marks")
     asked = marks.filter("fetch").select("kind", "row", "low", "more")
     shards = max(1, -(-asked.count() // SHARD_STRETCHES))
     wide = saved(asked.groupBy("kind").agg(F.count("*").alias("n")).filter(F.col("n") > KIND_STRETCHES), "wide")
