@@ -19,6 +19,7 @@ from tallymill.plans.ingest import ingest_all, ingest_batch, protect_in_parallel
 from tallymill.plans.publish import read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.schema import (
+    FLAG_COLUMNS,
     FLAGGED_FRAUD_ACCURACY,
     FRAUD_BY_TYPE,
     FRAUD_STATS,
@@ -88,10 +89,30 @@ def row_count(spark, sf_dir):
     return tx(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_rows"))
 
 
+def _number_flags(df: DataFrame) -> DataFrame:
+    """Flags that a text file held, as the numbers that it was written from."""
+    return df.withColumns({name: F.col(name).cast("int") for name in FLAG_COLUMNS})
+
+
 def csv_ingest(spark, sf_dir):
     path = scratch_path(spark, "csv")
     files.write_csv(tx(spark, sf_dir), path)
-    return files.read_csv(spark, path)
+    return _number_flags(files.read_csv(spark, path))
+
+
+def csv_text_flags(spark, sf_dir):
+    """Flags as numbers, truth values, decimals and other text by turns; a row whose label is other text still counts."""
+    path = scratch_path(spark, "csv")
+    turn = F.col("transactionID") % 4
+
+    def spelled(name):
+        flag = F.col(name)
+        other = F.when(flag.isNotNull(), F.lit("x"))
+        by_turn = F.when(turn == 0, flag.cast("string")).when(turn == 1, flag.cast("boolean").cast("string"))
+        return by_turn.when(turn == 2, flag.cast("double").cast("string")).otherwise(other)
+
+    files.write_csv(tx(spark, sf_dir).withColumns({name: spelled(name) for name in FLAG_COLUMNS}), path)
+    return cleaning.clean(cleaning.drop_step(files.read_csv(spark, path)))
 
 
 def csv_inferred(spark, sf_dir):
@@ -105,7 +126,7 @@ def csv_batch_slice(spark, sf_dir):
     path = scratch_path(spark, "csv")
     files.write_csv(tx(spark, sf_dir), path)
     staged = files.stage_csv(files.read_csv(spark, path), scratch_path(spark, "staged"))
-    return batching.batch_slice(staged, _batch_size(spark, sf_dir), 2)
+    return _number_flags(batching.batch_slice(staged, _batch_size(spark, sf_dir), 2))
 
 
 def parquet_roundtrip(spark, sf_dir):
@@ -346,7 +367,7 @@ def _arrived(spark: SparkSession, sf_dir: str) -> tuple[str, TokenKeys]:
 
 def stream_ingest(spark, sf_dir):
     landed, keys = _arrived(spark, sf_dir)
-    return decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, keys)
+    return _number_flags(decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, keys))
 
 
 def stream_fraud_by_type(spark, sf_dir):
@@ -367,6 +388,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "row_count": row_count,
         "csv_ingest": csv_ingest,
+        "csv_text_flags": csv_text_flags,
         "csv_inferred": csv_inferred,
         "csv_batch_slice": csv_batch_slice,
         "parquet_roundtrip": parquet_roundtrip,
@@ -500,6 +522,9 @@ def oracle_sql() -> dict[str, str]:
     statements = {
         "row_count": "SELECT count(*) AS total_rows FROM tx",
         "csv_ingest": "SELECT * FROM tx",
+        "csv_text_flags": """
+            SELECT * REPLACE (CASE WHEN "transactionID" % 4 < 3 THEN "isFraud" END AS "isFraud",
+                   CASE WHEN "transactionID" % 4 < 3 THEN "isFlaggedFraud" END AS "isFlaggedFraud") FROM cleaned""",
         "csv_inferred": "SELECT * FROM tx",
         "csv_batch_slice": batch_2,
         "parquet_roundtrip": "SELECT * FROM tx",

@@ -51,10 +51,10 @@ def _parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=help_text)
         if name == "transform":
             command.add_argument("batch", type=int)
-            command.add_argument("--strict", action="store_true", help="enforce the rules on values")
         else:
             command.add_argument("--batches", type=int, default=BATCH_COUNT)
             command.add_argument("--span", type=int, default=BATCH_SPAN)
+        command.add_argument("--strict", action="store_true", help="enforce the rules on values")
         command.add_argument("--landed", required=True)
         command.add_argument("--served", required=True)
         command.add_argument("--jdbc-url", help="replace the tables of this database as well")
@@ -104,7 +104,7 @@ def _transform(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.command == "transform":
         transform_batch(spark, options.landed, options.batch, keys, options.served, options.strict)
     else:
-        transform_all(spark, options.landed, keys, options.served, options.batches, options.span)
+        transform_all(spark, options.landed, keys, options.served, options.batches, options.span, options.strict)
     tables = {name: read_published(spark, options.served, name) for name in SERVED_TABLES}
     if options.preview:
         for table in tables.values():

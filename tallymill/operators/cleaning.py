@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,15 @@ def rename_type(df: DataFrame) -> DataFrame:
 
 
 def cast_flags(df: DataFrame) -> DataFrame:
-    """Flags as booleans: 0 is false, other numbers true, text that is no flag null."""
-    return df.withColumns({name: F.col(name).try_cast("boolean") for name in FLAG_COLUMNS})
+    """Flags as booleans: 0 is false, other numbers true, also where they are text; text that is no flag is null."""
+
+    def flag(name: str) -> Column:
+        value = F.col(name).try_cast("boolean")
+        if isinstance(df.schema[name].dataType, T.StringType):
+            value = F.coalesce(value, F.col(name).try_cast("double").try_cast("boolean"))
+        return value
+
+    return df.withColumns({name: flag(name) for name in FLAG_COLUMNS})
 
 
 def label_and_name(df: DataFrame) -> DataFrame:

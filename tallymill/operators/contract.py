@@ -74,17 +74,20 @@ def violations(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def duplicate_keys(df: DataFrame, key: str = CONTRACT_KEY) -> DataFrame:
-    """Keys that occur more than once."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+def duplicate_keys(df: DataFrame, key: str = CONTRACT_KEY, *within: str) -> DataFrame:
+    """Keys that occur more than once, or more than once with the same values of the columns ``within``."""
+    return df.groupBy(*within, key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
-def enforce(df: DataFrame) -> DataFrame:
-    """The frame itself if it keeps every rule; raises otherwise. Reads the frame twice."""
-    require_columns(df)
+def enforce(df: DataFrame, *within: str) -> DataFrame:
+    """The frame itself if it keeps every rule; raises otherwise. Reads the frame twice.
+
+    Keys must be unique, or unique among rows with the same values of the further columns ``within``.
+    """
+    require_columns(df.drop(*within))
     broken = violations(df).filter(F.col("violations") > 0).collect()
     if broken:
         raise ContractError("; ".join(f"{row['violations']} rows break {row['rule']} of {row['column']}" for row in broken))
-    if not duplicate_keys(df).isEmpty():
+    if not duplicate_keys(df, CONTRACT_KEY, *within).isEmpty():
         raise ContractError(f"{CONTRACT_KEY} is not unique")
     return df

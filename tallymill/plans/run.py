@@ -32,7 +32,8 @@ def run_all(
     keys: TokenKeys,
     batches: int = BATCH_COUNT,
     span: int = BATCH_SPAN,
+    strict: bool = False,
 ) -> str:
     """All batches in one pass over the source, published as one snapshot."""
     ingest_all(positioned, landed, size, keys, batches, span)
-    return transform_all(positioned.sparkSession, landed, keys, served, batches, span)
+    return transform_all(positioned.sparkSession, landed, keys, served, batches, span, strict)

@@ -86,13 +86,20 @@ def transform_all(
     served: str,
     batches: int = BATCH_COUNT,
     span: int = BATCH_SPAN,
+    strict: bool = False,
 ) -> str:
-    """Clean all batches that were landed as segments and publish their tables as one snapshot."""
+    """Clean all batches that were landed as segments and publish their tables as one snapshot.
+
+    ``strict`` also enforces the rules on values, and unique keys within each batch.
+    """
     segments = decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, keys)
     cleaned = label_and_name(drop_duplicates_by_batch(segments, batches, span))
     contract.require_columns(cleaned.drop("batch"))
     snapshot = Snapshot(spark, served)
-    tables = metric_tables(snapshot.write(TRANSFORMED_DATA, cleaned), "batch")
+    transformed = snapshot.write(TRANSFORMED_DATA, cleaned)
+    if strict:
+        contract.enforce(transformed, "batch")
+    tables = metric_tables(transformed, "batch")
     snapshot.write(FRAUD_BY_TYPE, tables[FRAUD_BY_TYPE])
     for name in (FRAUD_STATS, FLAGGED_FRAUD_ACCURACY):
         snapshot.write(name, _for_every_batch(tables[name], batches))

@@ -29,6 +29,11 @@ PROTECTED_COLUMNS = ("nameOrig", "nameDest")
 FLAG_COLUMNS = ("isFraud", "isFlaggedFraud")
 LABEL_COLUMN = "isFraud"
 
+#: As text files hold them: flags may be numbers, truth values or anything else, which only cleaning tells apart.
+CSV_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType() if f.name in FLAG_COLUMNS else f.dataType) for f in RAW_SCHEMA]
+)
+
 TRANSFORMED_DATA = "transformed_data"
 FRAUD_BY_TYPE = "fraud_by_type"
 FRAUD_STATS = "fraud_stats"

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymill.schema import RAW_SCHEMA
+from tallymill.schema import CSV_SCHEMA
 
 # Six digits, so that a written file gives back the microseconds it was given.
 _TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _SUCCESS_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = CSV_SCHEMA, mode: str = "FAILFAST"
+) -> DataFrame:
     """Read CSV files with a header line, whose columns may come in any order.
 
-    Columns that the schema does not name stay text. Without a schema the types are inferred, at the price of
+    Columns that the schema does not name stay text, and so do flags by default. A value that is not of its column's type is
+    an error; with ``mode="PERMISSIVE"`` it becomes null. Without a schema the types are inferred, at the price of
     one more scan.
     """
     reader = spark.read.option("header", True)
@@ -25,7 +28,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_S
     types = {field.name: field.dataType for field in schema}
     header = reader.csv(path).columns
     typed = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
-    return reader.option("enforceSchema", False).schema(typed).csv(path)
+    return reader.option("enforceSchema", False).option("mode", mode).schema(typed).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

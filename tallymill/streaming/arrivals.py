@@ -11,21 +11,26 @@ from tallymill.operators import metrics
 from tallymill.operators.cleaning import clean
 from tallymill.plans.ingest import protect
 from tallymill.plans.transform import transform_batch
-from tallymill.schema import RAW_SCHEMA
+from tallymill.schema import CSV_SCHEMA
 from tallymill.sources.files import write_batch
 
 
 def read_arrivals(
-    spark: SparkSession, source: str, schema: T.StructType = RAW_SCHEMA, files_per_trigger: int = 1000
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType = CSV_SCHEMA,
+    files_per_trigger: int | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Rows of the files in a folder as a stream. A file whose header differs from the schema is an error."""
-    return (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .csv(source)
-    )
+    """Rows of the files in a folder as a stream; flags are text, as in ``read_csv``.
+
+    A file whose header differs from the schema is an error, and so is a malformed value. All files that are new make one
+    step unless ``files_per_trigger`` limits it; leave it out where each step becomes a batch.
+    """
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("mode", mode)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.csv(source)
 
 
 def land_arrivals(arriving: DataFrame, landed: str, checkpoint: str, keys: TokenKeys) -> StreamingQuery:

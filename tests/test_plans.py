@@ -18,7 +18,7 @@ from tallymill.plans.ingest import ingest_all, ingest_batch, protect
 from tallymill.plans.publish import SERVED_TABLES, Snapshot, publish_jdbc, read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.plans.transform import transform_batch
-from tallymill.schema import BATCH_COUNT, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
+from tallymill.schema import BATCH_COUNT, FLAG_COLUMNS, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
 from tallymill.scratch import scratch_path
 from tallymill.sources import files
 from tallymill.sources.jdbc import postgres_url, read_jdbc, write_jdbc
@@ -170,7 +170,7 @@ def test_plans_shuffle_once(spark, rows, keys, tmp_path):
 def test_csv_keeps_microseconds_and_types(spark, sf_dir, tmp_path):
     path = str(tmp_path / "csv")
     files.write_csv(tx(spark, sf_dir), path)
-    back = files.read_csv(spark, path)
+    back = files.read_csv(spark, path).withColumns({name: F.col(name).cast("int") for name in FLAG_COLUMNS})
     assert back.schema == tx(spark, sf_dir).schema or back.dtypes == tx(spark, sf_dir).dtypes
     assert same(back, tx(spark, sf_dir))
     assert dict(files.read_csv(spark, path, schema=None).dtypes)["transactionID"] == "int"
@@ -234,7 +234,7 @@ def test_arrivals_land_once(spark, sf_dir, keys, tmp_path):
     source, landed, checkpoint = (str(tmp_path / name) for name in ("source", "landed", "checkpoint"))
     early, late = tx(spark, sf_dir).filter("transactionID < 400"), tx(spark, sf_dir).filter("transactionID >= 400")
 
-    def land(files_per_trigger=1000):
+    def land(files_per_trigger=None):
         arriving = read_arrivals(spark, f"{source}/*", files_per_trigger=files_per_trigger)
         land_arrivals(arriving, landed, checkpoint, keys).awaitTermination()
         return spark.read.parquet(landed)
@@ -243,7 +243,7 @@ def test_arrivals_land_once(spark, sf_dir, keys, tmp_path):
     assert land(files_per_trigger=1).count() == 400
     assert land().count() == 400
     files.write_csv(late, f"{source}/month=2")
-    stored = land()
+    stored = land().withColumns({name: F.col(name).cast("int") for name in FLAG_COLUMNS})
     assert same(decrypt_columns(stored, NAMES, keys), drop_step(tx(spark, sf_dir)))
     assert stored.select("nameOrig").distinct().count() == stored.count()
     whole = metrics.fraud_by_type(metrics.summarize(clean(drop_step(tx(spark, sf_dir)))))
@@ -262,6 +262,30 @@ def test_a_step_run_again_replaces_its_batch(spark, sf_dir, keys, tmp_path):
     assert os.listdir(landed) == ["batch=1"]
 
 
+def test_all_new_files_make_one_batch(spark, sf_dir, keys, tmp_path):
+    source, landed, served = (str(tmp_path / name) for name in ("source", "landed", "served"))
+    files.write_csv(tx(spark, sf_dir).repartition(5), source)
+    publish_arrivals(read_arrivals(spark, source), landed, served, str(tmp_path / "checkpoint"), keys).awaitTermination()
+    assert os.listdir(landed) == ["batch=1"]
+
+
+@pytest.mark.parametrize("column, value", [("amount", "abc"), ("timestamp", "01/02/2024 10:00"), ("step", "1.5")])
+def test_malformed_values_are_errors(spark, sf_dir, tmp_path, column, value):
+    path = str(tmp_path / "csv")
+    files.write_csv(tx(spark, sf_dir).limit(5).withColumn(column, F.lit(value)), path)
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_csv(spark, path).collect()
+    assert files.read_csv(spark, path, mode="PERMISSIVE").filter(F.col(column).isNull()).count() == 5
+
+
+def test_strict_rules_hold_for_all_batches(spark, sf_dir, keys, tmp_path):
+    raw, landed, served = positioned_tx(spark, sf_dir), str(tmp_path / "landed"), str(tmp_path / "served")
+    run_all(raw, landed, served, 200, keys, strict=True)
+    broken = raw.withColumn("amount", F.lit(1e14))
+    with pytest.raises(ContractError, match="amount"):
+        run_all(broken, str(tmp_path / "broken"), served, 200, keys, strict=True)
+
+
 def test_a_file_with_other_columns_is_an_error(spark, keys, tmp_path):
     source = tmp_path / "source"
     source.mkdir()
