@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from tallymill.fixtures import positioned_tx, tx
 from tallymill.functions.tokens import TokenKeys, decrypt_columns, encrypt_columns, with_token_check
 from tallymill.operators import batching, cleaning, contract, metrics, serving
-from tallymill.operators.parallel import spread
-from tallymill.operators.position import stage_in_key_order
-from tallymill.plans.ingest import ingest_all, ingest_batch, protect_in_parallel
+from tallymill.operators.position import drop_position, stage_in_key_order, with_source_position
+from tallymill.plans.ingest import ingest_all, ingest_batch, protect
 from tallymill.plans.publish import read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.schema import (
+    BATCH_COUNT,
     FLAG_COLUMNS,
     FLAGGED_FRAUD_ACCURACY,
     FRAUD_BY_TYPE,
@@ -29,8 +29,14 @@ from tallymill.schema import (
 )
 from tallymill.scratch import scratch_path
 from tallymill.sources import files
-from tallymill.sources.jdbc import read_jdbc, write_jdbc
-from tallymill.streaming.arrivals import fraud_by_type_so_far, land_arrivals, publish_arrivals, read_arrivals
+from tallymill.sources.jdbc import read_jdbc, split_by_key, write_jdbc
+from tallymill.streaming.arrivals import (
+    fraud_by_type_of_batches,
+    fraud_by_type_so_far,
+    land_arrivals,
+    publish_arrivals,
+    read_arrivals,
+)
 
 try:  # the operators on training text and their pipeline may be absent
     import corpus_pipeline
@@ -54,6 +60,11 @@ def _keys(spark: SparkSession) -> TokenKeys:
     return TokenKeys.from_text(spark, _KEY)
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks that protect names: the test table is one file, which alone would be one task."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _batch_size(spark: SparkSession, sf_dir: str) -> int:
     """A tenth of the table: batch 10 is cut short by its end, batches 11 and 12 are empty."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").count() // 10
@@ -122,6 +133,13 @@ def csv_inferred(spark, sf_dir):
     return inferred.select(*[F.col(field.name).cast(field.dataType) for field in RAW_SCHEMA])
 
 
+def csv_inferred_types(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    files.write_csv(tx(spark, sf_dir), path)
+    found = files.read_csv(spark, path, schema=None).dtypes
+    return spark.createDataFrame(found, "column string, type string").coalesce(1)
+
+
 def csv_batch_slice(spark, sf_dir):
     path = scratch_path(spark, "csv")
     files.write_csv(tx(spark, sf_dir), path)
@@ -137,16 +155,18 @@ def parquet_roundtrip(spark, sf_dir):
 
 def batch_read(spark, sf_dir):
     path = scratch_path(spark, "batches")
-    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir))
+    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT)
     files.replace_partitions(batches, path, "batch")
     return files.read_batch(spark, path, 2)
 
 
 def jdbc_roundtrip(spark, sf_dir):
     url = spark.conf.get(_JDBC_URL_SETTING, _JDBC_URL)
-    rows = cleaning.rename_type(tx(spark, sf_dir))
-    write_jdbc(rows, url, TRANSFORMED_DATA, column_types=contract.TEXT_TYPES)
-    return read_jdbc(spark, url, TRANSFORMED_DATA)
+    path = scratch_path(spark, "outgoing")
+    files.write_table(cleaning.rename_type(tx(spark, sf_dir)), path)
+    write_jdbc(files.read_table(spark, path), url, TRANSFORMED_DATA, column_types=contract.TEXT_TYPES)
+    split = split_by_key(spark, url, TRANSFORMED_DATA, "transactionID", _tasks(spark))
+    return read_jdbc(spark, url, TRANSFORMED_DATA, split_by=split)
 
 
 def jdbc_query(spark, sf_dir):
@@ -161,7 +181,7 @@ def limit_prefix(spark, sf_dir):
 
 
 def except_all(spark, sf_dir):
-    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir)).drop("batch")
+    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT).drop("batch")
     return batching.except_all(batches, tx(spark, sf_dir))
 
 
@@ -171,7 +191,7 @@ def batch_slice_by_key(spark, sf_dir):
 
 
 def batch_fanout(spark, sf_dir):
-    return batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir))
+    return batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT)
 
 
 def drop_step(spark, sf_dir):
@@ -195,7 +215,7 @@ def fraud_rows(spark, sf_dir):
 
 
 def dedup(spark, sf_dir):
-    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir)).drop("batch")
+    batches = batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT).drop("batch")
     return cleaning.drop_duplicates(batches)
 
 
@@ -214,14 +234,14 @@ def flagged_fraud_accuracy(spark, sf_dir):
 def encrypt_roundtrip(spark, sf_dir):
     keys = _keys(spark)
     return decrypt_columns(
-        encrypt_columns(spread(tx(spark, sf_dir)), PROTECTED_COLUMNS, keys), PROTECTED_COLUMNS, keys
+        encrypt_columns(tx(spark, sf_dir).repartition(_tasks(spark)), PROTECTED_COLUMNS, keys), PROTECTED_COLUMNS, keys
     )
 
 
 def encrypt_null(spark, sf_dir):
     keys = _keys(spark)
     known = tx(spark, sf_dir).withColumn("nameOrig", F.when(F.col("isFraud").isNotNull(), F.col("nameOrig")))
-    tokens = encrypt_columns(spread(known), ["nameOrig"], keys).withColumn("has_token", F.col("nameOrig").isNotNull())
+    tokens = encrypt_columns(known.repartition(_tasks(spark)), ["nameOrig"], keys).withColumn("has_token", F.col("nameOrig").isNotNull())
     return decrypt_columns(tokens, ["nameOrig"], keys).select("transactionID", "nameOrig", "has_token")
 
 
@@ -236,7 +256,7 @@ def decrypt_tamper(spark, sf_dir):
         .when(kind == "DEBIT", F.concat(F.lit("!"), token))
         .otherwise(token)
     )
-    tokens = encrypt_columns(spread(tx(spark, sf_dir)), ["nameOrig"], keys).withColumn("nameOrig", damaged)
+    tokens = encrypt_columns(tx(spark, sf_dir).repartition(_tasks(spark)), ["nameOrig"], keys).withColumn("nameOrig", damaged)
     checked = with_token_check(tokens, "nameOrig", keys, "text", "valid")
     return checked.groupBy("type").agg(
         F.count(F.lit(1)).alias("tokens"),
@@ -261,11 +281,38 @@ def contract_conform(spark, sf_dir):
 
 
 def contract_violations(spark, sf_dir):
-    return contract.violations(cleaning.rename_type(tx(spark, sf_dir)))
+    """Rows that break each rule, by the last digits of the key; one column at a time."""
+    turn = F.col("transactionID") % 20
+
+    def broken(name, *values):
+        column = F.col(name).cast("string")
+        for number, value in values:
+            column = F.when(turn == number, F.lit(value)).otherwise(column)
+        return column
+
+    rows = cleaning.rename_type(tx(spark, sf_dir))
+    return contract.violations(
+        rows.withColumns(
+            {
+                "transType": broken("transType", (0, "x" * 51), (1, None)),
+                "amount": broken("amount", (2, "abc"), (3, "10000000000000"), (4, None)),
+                "nameOrig": broken("nameOrig", (5, "x" * 60), (6, None)),
+                "nameDest": broken("nameDest", (7, "x" * 51), (8, None)),
+                "oldbalanceOrg": broken("oldbalanceOrg", (9, "1e14")),
+                "isFlaggedFraud": broken("isFlaggedFraud", (10, None)),
+                "isFraud": broken("isFraud", (11, "x")),
+                "timestamp": broken("timestamp", (12, "soon"), (13, None)),
+                "transactionID": broken("transactionID", (14, None)),
+                "newbalanceOrig": broken("newbalanceOrig", (15, "1e14")),
+                "oldbalanceDest": broken("oldbalanceDest", (16, "-1e14")),
+                "newbalanceDest": broken("newbalanceDest", (17, "ten")),
+            }
+        )
+    )
 
 
 def contract_duplicate_keys(spark, sf_dir):
-    return contract.duplicate_keys(batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir)))
+    return contract.duplicate_keys(batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT))
 
 
 def scatter_points(spark, sf_dir):
@@ -282,24 +329,26 @@ def fraud_type_bars(spark, sf_dir):
 
 def clean(spark, sf_dir):
     keys = _keys(spark)
-    return cleaning.clean(protect_in_parallel(tx(spark, sf_dir), keys), keys)
+    return cleaning.clean(protect(tx(spark, sf_dir), keys, _tasks(spark)), keys)
 
 
 def ingest_one_batch(spark, sf_dir):
     keys, landed = _keys(spark), scratch_path(spark, "landed")
-    ingest_batch(positioned_tx(spark, sf_dir), landed, _batch_size(spark, sf_dir), 2, keys)
+    ingest_batch(positioned_tx(spark, sf_dir), landed, _batch_size(spark, sf_dir), 2, keys, partitions=_tasks(spark))
     return decrypt_columns(files.read_batch(spark, landed, 2), PROTECTED_COLUMNS, keys)
 
 
 def ingest_all_batches(spark, sf_dir):
     keys, landed = _keys(spark), scratch_path(spark, "landed")
-    ingest_all(positioned_tx(spark, sf_dir), landed, _batch_size(spark, sf_dir), keys)
+    size = _batch_size(spark, sf_dir)
+    ingest_all(positioned_tx(spark, sf_dir), landed, size, keys, BATCH_COUNT, partitions=_tasks(spark))
     return decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, keys)
 
 
 def _served_batch(spark: SparkSession, sf_dir: str, number: int, table: str) -> DataFrame:
     landed, served = scratch_path(spark, "landed"), scratch_path(spark, "served")
-    run_batch(positioned_tx(spark, sf_dir), landed, served, _batch_size(spark, sf_dir), number, _keys(spark))
+    rows, size = positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir)
+    run_batch(rows, landed, served, size, number, _keys(spark), partitions=_tasks(spark))
     return read_published(spark, served, table)
 
 
@@ -317,7 +366,8 @@ def transform_batch_empty(spark, sf_dir):
 
 def _served_all(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     landed, served = scratch_path(spark, "landed"), scratch_path(spark, "served")
-    run_all(positioned_tx(spark, sf_dir), landed, served, _batch_size(spark, sf_dir), _keys(spark))
+    rows, size = positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir)
+    run_all(rows, landed, served, size, _keys(spark), BATCH_COUNT, partitions=_tasks(spark))
     return read_published(spark, served, table, history=True)
 
 
@@ -337,6 +387,38 @@ def all_batches_flagged_fraud_accuracy(spark, sf_dir):
     return _rounded(_served_all(spark, sf_dir, FLAGGED_FRAUD_ACCURACY), "flag_accuracy")
 
 
+def _with_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Positioned rows, each third one three times in a row, and a size that makes 150 batches or a few less.
+
+    Copies lie in one segment or across the border of two.
+    """
+    path = scratch_path(spark, "copies")
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("transactionID") % 3 == 0, 3).otherwise(1)))
+    rows = tx(spark, sf_dir).withColumn("_copy", copies).drop("_copy")
+    files.write_table(rows.repartitionByRange(1, "transactionID").sortWithinPartitions("transactionID"), path)
+    copied = with_source_position(spark.read.parquet(path))
+    return copied, max(1, copied.count() // 149)
+
+
+def all_batches_complete(spark, sf_dir):
+    """With no number of batches given, every row is in some batch, and copies go within each."""
+    landed, served = scratch_path(spark, "landed"), scratch_path(spark, "served")
+    rows, size = _with_copies(spark, sf_dir)
+    run_all(rows, landed, served, size, _keys(spark), partitions=_tasks(spark))
+    return read_published(spark, served, TRANSFORMED_DATA, history=True)
+
+
+def transform_batch_copies(spark, sf_dir):
+    landed, served = scratch_path(spark, "landed"), scratch_path(spark, "served")
+    rows, size = _with_copies(spark, sf_dir)
+    run_batch(rows, landed, served, 20 * size, 2, _keys(spark), partitions=_tasks(spark))
+    return read_published(spark, served, TRANSFORMED_DATA)
+
+
+def clean_copies(spark, sf_dir):
+    return cleaning.clean(cleaning.drop_step(drop_position(_with_copies(spark, sf_dir)[0])))
+
+
 def _published_twice(spark: SparkSession, sf_dir: str, history: bool) -> DataFrame:
     """Batches 1 and 10 one after the other, then batch 1 once more."""
     rows, size, keys = positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), _keys(spark)
@@ -384,12 +466,23 @@ def stream_batches(spark, sf_dir):
     return _rounded(read_published(spark, served, FRAUD_BY_TYPE, history=True), "fraud_rate")
 
 
+def stream_fraud_by_type_added(spark, sf_dir):
+    """Four arrivals, each a batch of its own; their summaries are added up."""
+    keys, source = _keys(spark), scratch_path(spark, "arriving")
+    landed, served, checkpoint = (scratch_path(spark, name) for name in ("landed", "served", "progress"))
+    for turn in range(4):
+        files.write_csv(tx(spark, sf_dir).filter(F.col("transactionID") % 4 == turn), f"{source}/turn={turn}")
+        publish_arrivals(read_arrivals(spark, f"{source}/*"), landed, served, checkpoint, keys).awaitTermination()
+    return _rounded(fraud_by_type_of_batches(spark, served), "fraud_rate")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "row_count": row_count,
         "csv_ingest": csv_ingest,
         "csv_text_flags": csv_text_flags,
         "csv_inferred": csv_inferred,
+        "csv_inferred_types": csv_inferred_types,
         "csv_batch_slice": csv_batch_slice,
         "parquet_roundtrip": parquet_roundtrip,
         "batch_read": batch_read,
@@ -432,10 +525,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "all_batches_fraud_by_type": all_batches_fraud_by_type,
         "all_batches_fraud_stats": all_batches_fraud_stats,
         "all_batches_flagged_fraud_accuracy": all_batches_flagged_fraud_accuracy,
+        "all_batches_complete": all_batches_complete,
+        "transform_batch_copies": transform_batch_copies,
+        "clean_copies": clean_copies,
         "served_latest": served_latest,
         "served_history": served_history,
         "stream_ingest": stream_ingest,
         "stream_fraud_by_type": stream_fraud_by_type,
+        "stream_fraud_by_type_added": stream_fraud_by_type_added,
         "stream_batches": stream_batches,
     }
     if training_text:
@@ -501,20 +598,34 @@ _RANGE = 'SELECT * EXCLUDE (i, size) FROM numbered WHERE i >= {first} * size AND
 _EVERY_BATCH = "(SELECT CAST(unnest(range(1, 13)) AS INT) AS batch)"
 
 
-def _violation_rows() -> str:
-    names = list(contract.CONTRACT)
-    rows = []
-    for rule in names:
-        rows.append(("type", rule.name, 0))
-        if rule.required:
-            nulls = '(SELECT count(*) FROM tx WHERE "isFraud" IS NULL)' if rule.name == "isFraud" else 0
-            rows.append(("not_null", rule.name, nulls))
-        if rule.max_length is not None:
-            rows.append(("max_length", rule.name, 0))
-    return " UNION ALL ".join(
-        f"SELECT '{check}' AS \"rule\", '{name}' AS \"column\", CAST({count} AS BIGINT) AS violations"
-        for check, name, count in rows
-    )
+_VIOLATIONS = """
+SELECT r."rule", r."column", CAST(count(t.k) AS BIGINT) AS violations
+FROM (VALUES ('type', 'transactionID', []), ('type', 'transType', []), ('type', 'amount', [2, 3]),
+             ('type', 'nameOrig', []), ('type', 'oldbalanceOrg', [9]), ('type', 'newbalanceOrig', [15]),
+             ('type', 'nameDest', []), ('type', 'oldbalanceDest', [16]), ('type', 'newbalanceDest', [17]),
+             ('type', 'isFraud', [11]), ('type', 'isFlaggedFraud', []), ('type', 'timestamp', [12]),
+             ('not_null', 'transactionID', [14]), ('not_null', 'transType', [1]), ('not_null', 'amount', [4]),
+             ('not_null', 'nameOrig', [6]), ('not_null', 'nameDest', [8]), ('not_null', 'isFraud', [-1]),
+             ('not_null', 'isFlaggedFraud', [10]), ('not_null', 'timestamp', [13]),
+             ('max_length', 'transType', [0]), ('max_length', 'nameOrig', [5]), ('max_length', 'nameDest', [7])
+     ) AS r("rule", "column", turns)
+LEFT JOIN (SELECT "transactionID" % 20 AS k FROM tx
+           UNION ALL SELECT -1 FROM tx WHERE "isFraud" IS NULL AND "transactionID" % 20 <> 11) t
+  ON list_contains(r.turns, t.k)
+GROUP BY r."rule", r."column"
+"""
+_COPIED = """
+copied AS (
+SELECT *, row_number() OVER (ORDER BY "transactionID") - 1 AS j
+FROM tx JOIN (SELECT unnest(range(3)) AS copy) c ON c.copy = 0 OR "transactionID" % 3 = 0
+),
+copied_size AS (SELECT greatest(1, count(*) // 149) AS size FROM copied),
+in_batches AS (
+SELECT DISTINCT CAST(b.batch AS INT) AS batch, "transactionID"
+FROM copied, copied_size s, (SELECT unnest(range(1, 100000)) AS batch) b
+WHERE b.batch IN (j // s.size, j // s.size + 1) AND (b.batch - 1) * s.size < (SELECT count(*) FROM copied)
+)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -526,6 +637,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT * REPLACE (CASE WHEN "transactionID" % 4 < 3 THEN "isFraud" END AS "isFraud",
                    CASE WHEN "transactionID" % 4 < 3 THEN "isFlaggedFraud" END AS "isFlaggedFraud") FROM cleaned""",
         "csv_inferred": "SELECT * FROM tx",
+        "csv_inferred_types": """
+            SELECT * FROM (VALUES ('step', 'int'), ('transactionID', 'int'), ('type', 'string'), ('amount', 'double'),
+                ('nameOrig', 'string'), ('oldbalanceOrg', 'double'), ('newbalanceOrig', 'double'), ('nameDest', 'string'),
+                ('oldbalanceDest', 'double'), ('newbalanceDest', 'double'), ('isFraud', 'int'), ('isFlaggedFraud', 'int'),
+                ('timestamp', 'timestamp')) AS t("column", "type")
+            WHERE (SELECT count(*) FROM tx) > 0""",
         "csv_batch_slice": batch_2,
         "parquet_roundtrip": "SELECT * FROM tx",
         "batch_read": batch_2,
@@ -574,7 +691,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST("newbalanceOrig" AS DECIMAL(15,2)) AS "newbalanceOrig",
                    CAST("oldbalanceDest" AS DECIMAL(15,2)) AS "oldbalanceDest",
                    CAST("newbalanceDest" AS DECIMAL(15,2)) AS "newbalanceDest") FROM cleaned""",
-        "contract_violations": _violation_rows(),
+        "contract_violations": _VIOLATIONS,
         "contract_duplicate_keys": """
             SELECT "transactionID", count(*) AS "rows" FROM fanned GROUP BY "transactionID" HAVING count(*) > 1""",
         "scatter_points": 'SELECT "transactionID", "isFraud" FROM cleaned',
@@ -594,16 +711,22 @@ def oracle_sql() -> dict[str, str]:
             SELECT batch, {_STATS} FROM {_EVERY_BATCH} LEFT JOIN all_clean USING (batch) GROUP BY batch""",
         "all_batches_flagged_fraud_accuracy": f"""
             SELECT batch, {_ACCURACY} FROM {_EVERY_BATCH} LEFT JOIN all_clean USING (batch) GROUP BY batch""",
+        "all_batches_complete": 'SELECT cleaned.*, batch FROM in_batches JOIN cleaned USING ("transactionID")',
+        "transform_batch_copies": """
+            SELECT * FROM cleaned WHERE "transactionID" IN (
+                SELECT "transactionID" FROM copied, copied_size s WHERE j >= 20 * s.size AND j < 60 * s.size)""",
+        "clean_copies": "SELECT * FROM cleaned",
         "served_latest": f'SELECT {_BY_TYPE} FROM all_clean WHERE batch = 1 GROUP BY "transType"',
         "served_history": f"""
             SELECT batch, {_BY_TYPE} FROM all_clean WHERE batch IN (1, 10) GROUP BY batch, "transType" """,
         "stream_ingest": 'SELECT * EXCLUDE ("step") FROM tx',
         "stream_fraud_by_type": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
+        "stream_fraud_by_type_added": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
         "stream_batches": f"""
             SELECT batch, {_BY_TYPE} FROM (SELECT *, CASE WHEN "isFlaggedFraud" THEN 1 ELSE 2 END AS batch FROM cleaned)
             GROUP BY batch, "transType" """,
     }
-    found = {name: f"WITH {_TX} {statement}" for name, statement in statements.items()}
+    found = {name: f"WITH {_TX}, {_COPIED} {statement}" for name, statement in statements.items()}
     if training_text:
         found |= training_text.oracle_sql()
     return found

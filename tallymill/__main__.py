@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tallymill.functions.tokens import TokenKeys
 from tallymill.operators.position import with_source_position
 from tallymill.plans.ingest import ingest_all, ingest_batch
-from tallymill.plans.publish import SERVED_TABLES, publish_jdbc, read_published
+from tallymill.plans.publish import SERVED_TABLES, expire, publish_jdbc, read_published
 from tallymill.plans.transform import transform_all, transform_batch
-from tallymill.schema import BATCH_COUNT, BATCH_SPAN
+from tallymill.schema import BATCH_SPAN
 from tallymill.sources.files import read_batch, read_csv, stage_csv
+from tallymill.sources.jdbc import CONNECTIONS
 from tallymill.streaming.arrivals import land_arrivals, publish_arrivals, read_arrivals
 
 # Environment variables that the jobs read.
@@ -41,7 +42,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "ingest":
             command.add_argument("batch", type=int)
         else:
-            command.add_argument("--batches", type=int, default=BATCH_COUNT)
+            command.add_argument("--batches", type=int, help="as many as the table needs unless given")
+        command.add_argument("--partitions", type=int, help="deal rows out to so many tasks before names are protected")
         command.add_argument("--source", required=True, help="staged CSV, or a Parquet table")
         command.add_argument("--landed", required=True)
         command.add_argument("--span", type=int, default=BATCH_SPAN)
@@ -52,14 +54,12 @@ def _parser() -> argparse.ArgumentParser:
         if name == "transform":
             command.add_argument("batch", type=int)
         else:
-            command.add_argument("--batches", type=int, default=BATCH_COUNT)
+            command.add_argument("--batches", type=int, help="as given to ingest-all")
             command.add_argument("--span", type=int, default=BATCH_SPAN)
         command.add_argument("--strict", action="store_true", help="enforce the rules on values")
         command.add_argument("--landed", required=True)
         command.add_argument("--served", required=True)
-        command.add_argument("--jdbc-url", help="replace the tables of this database as well")
-        command.add_argument("--truncate", action="store_true", help="keep the database tables as declared")
-        command.add_argument("--declared-types", action="store_true", help="store contract types in the database")
+        _database_options(command)
         command.add_argument("--preview", action="store_true", help="print the published tables")
 
     arrivals = commands.add_parser("arrivals", help="land CSV files that are new since the last run")
@@ -67,9 +67,21 @@ def _parser() -> argparse.ArgumentParser:
     arrivals.add_argument("landed")
     arrivals.add_argument("checkpoint")
     arrivals.add_argument("--served", help="make the new files a batch and publish it")
+    _database_options(arrivals)
+
+    old = commands.add_parser("expire", help="delete snapshots that no batch is read from")
+    old.add_argument("served")
+    old.add_argument("--unchanged-for", type=float, required=True, help="seconds; more than any run or read takes")
     return parser
 
 
+def _database_options(command: argparse.ArgumentParser) -> None:
+    command.add_argument("--jdbc-url", help="replace the tables of this database as well")
+    command.add_argument("--truncate", action="store_true", help="keep the database tables as declared")
+    command.add_argument("--declared-types", action="store_true", help="store contract types in the database")
+    command.add_argument("--connections", type=int, default=CONNECTIONS, help="to the database, at a time")
+
+
 def _positioned(spark: SparkSession, path: str) -> DataFrame:
     table = spark.read.parquet(path)
     return table if "_row" in table.columns else with_source_position(table)
@@ -90,10 +102,13 @@ def _preview(table: DataFrame, rows: int = 5) -> None:
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> None:
     rows, keys = _positioned(spark, options.source), TokenKeys.from_environment(spark)
     if options.command == "ingest":
-        ingest_batch(rows, options.landed, _batch_size(), options.batch, keys, options.span)
+        ingest_batch(rows, options.landed, _batch_size(), options.batch, keys, options.span, options.partitions)
         landed = read_batch(spark, options.landed, options.batch)
     else:
-        ingest_all(rows, options.landed, _batch_size(), keys, options.batches, options.span)
+        size, batches = _batch_size(), options.batches
+        outside = ingest_all(rows, options.landed, size, keys, batches, options.span, options.partitions)
+        if outside:
+            print(f"{outside} rows lie behind batch {batches} and are in none")
         landed = spark.read.parquet(options.landed)
     if options.preview:
         _preview(landed)
@@ -109,10 +124,14 @@ def _transform(spark: SparkSession, options: argparse.Namespace) -> None:
     if options.preview:
         for table in tables.values():
             _preview(table)
+    _to_database(tables, options)
+
+
+def _to_database(tables: dict[str, DataFrame], options: argparse.Namespace) -> None:
     if options.jdbc_url:
         account = {"user": os.environ.get(USER_VARIABLE), "password": os.environ.get(PASSWORD_VARIABLE)}
         properties = {name: value for name, value in account.items() if value}
-        publish_jdbc(tables, options.jdbc_url, properties, options.truncate, options.declared_types)
+        publish_jdbc(tables, options.jdbc_url, properties, options.truncate, options.declared_types, options.connections)
 
 
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
@@ -124,6 +143,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         _ingest(spark, options)
     elif options.command in ("transform", "transform-all"):
         _transform(spark, options)
+    elif options.command == "expire":
+        expire(spark, options.served, options.unchanged_for)
     else:
         keys = TokenKeys.from_environment(spark)
         arriving = read_arrivals(spark, options.source)
@@ -132,6 +153,8 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
         else:
             query = land_arrivals(arriving, options.landed, options.checkpoint, keys)
         query.awaitTermination()
+        if options.served:
+            _to_database({name: read_published(spark, options.served, name) for name in SERVED_TABLES}, options)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.operators.position import drop_position, empty_like, find_cuts
-from tallymill.schema import BATCH_COUNT, BATCH_SPAN
+from tallymill.schema import BATCH_SPAN
 
 _COPIES_PER_TASK = 1 << 16
 
@@ -39,6 +39,17 @@ def batch_slice(positioned: DataFrame, size: int, batch: int, span: int = BATCH_
     return slice_rows(positioned, start, start + span * size)
 
 
+def count_batches(positioned: DataFrame, size: int) -> int:
+    """As many batches as start inside the table, so that every row is in one."""
+    _check_batching(size, 1)
+    return -(-positioned.count() // size)
+
+
+def rows_outside(positioned: DataFrame, size: int, batches: int, span: int = BATCH_SPAN) -> int:
+    """How many rows lie behind the last of so many batches."""
+    return max(0, positioned.count() - (batches + span - 1) * size)
+
+
 def with_segment(positioned: DataFrame, size: int, segments: int) -> DataFrame:
     """Number consecutive runs of ``size`` rows from 0; rows behind the last run are left out.
 
@@ -62,7 +73,7 @@ def with_segment(positioned: DataFrame, size: int, segments: int) -> DataFrame:
     return drop_position(rows.withColumn("segment", segment))
 
 
-def batches_of(segment: Column, batches: int = BATCH_COUNT, span: int = BATCH_SPAN) -> Column:
+def batches_of(segment: Column, batches: int, span: int = BATCH_SPAN) -> Column:
     """Array of the batches that hold a segment."""
     first = F.greatest(segment - F.lit(span - 2), F.lit(1))
     last = F.least(segment + F.lit(1), F.lit(batches))
@@ -70,10 +81,17 @@ def batches_of(segment: Column, batches: int = BATCH_COUNT, span: int = BATCH_SP
 
 
 def fan_out(
-    positioned: DataFrame, size: int, batches: int = BATCH_COUNT, span: int = BATCH_SPAN
+    positioned: DataFrame, size: int, batches: int | None = None, span: int = BATCH_SPAN
 ) -> DataFrame:
-    """All batches at once, told apart by the column ``batch``: one scan, no shuffle."""
+    """All batches at once, told apart by the column ``batch``: one scan, no shuffle.
+
+    Without a number of batches there are as many as the table needs. With one, rows behind the last batch are
+    in none; ``rows_outside`` counts them.
+    """
     _check_batching(size, span)
+    batches = count_batches(positioned, size) if batches is None else batches
+    if batches == 0:
+        return drop_position(empty_like(positioned)).withColumn("batch", F.lit(0))
     segmented = with_segment(positioned, size, batches + span - 1)
     return segmented.withColumn("batch", F.explode(batches_of(F.col("segment"), batches, span))).drop("segment")
 

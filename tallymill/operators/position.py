@@ -60,14 +60,12 @@ def stage_in_key_order(
 ) -> DataFrame:
     """Write a positioned table in the order of ``keys`` and read it back with positions in that order.
 
-    One range shuffle, into as many partitions as the scan has splits unless told otherwise. Nulls come first;
+    One range shuffle, into ``partitions`` or else as many as ``spark.sql.shuffle.partitions`` says. Nulls come first;
     equal keys keep their source order, which also spreads a key that holds a large share of the rows over many
     partitions.
     """
     spark = df.sparkSession
-    partitions = partitions or max(
-        df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(key).asc_nulls_first() if isinstance(key, str) else key for key in keys]
     order += [F.col(name) for name in POSITION]
     ranged = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)

@@ -5,28 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallymill.functions.tokens import TokenKeys, encrypt_columns
-from tallymill.operators.batching import batch_slice, with_segment
+from tallymill.operators.batching import batch_slice, count_batches, rows_outside, with_segment
 from tallymill.operators.cleaning import drop_step
-from tallymill.operators.parallel import spread
-from tallymill.schema import BATCH_COUNT, BATCH_SPAN, PROTECTED_COLUMNS
+from tallymill.schema import BATCH_SPAN, PROTECTED_COLUMNS
 from tallymill.sources.files import write_batch, write_table
 
 
-def protect(rows: DataFrame, keys: TokenKeys) -> DataFrame:
-    """Rows as they are landed: without ``step``, account names as tokens."""
-    return encrypt_columns(drop_step(rows), PROTECTED_COLUMNS, keys)
+def protect(rows: DataFrame, keys: TokenKeys, partitions: int | None = None) -> DataFrame:
+    """Rows as they are landed: without ``step``, account names as tokens.
 
-
-def protect_in_parallel(rows: DataFrame, keys: TokenKeys) -> DataFrame:
-    """As ``protect``, on all cores even if the source has a few splits only."""
-    return protect(spread(rows), keys)
+    Tokens are costly, so a source of a few large splits may be dealt out to ``partitions`` tasks first.
+    """
+    dealt = rows if partitions is None else rows.repartition(partitions)
+    return encrypt_columns(drop_step(dealt), PROTECTED_COLUMNS, keys)
 
 
 def ingest_batch(
-    positioned: DataFrame, root: str, size: int, batch: int, keys: TokenKeys, span: int = BATCH_SPAN
+    positioned: DataFrame,
+    root: str,
+    size: int,
+    batch: int,
+    keys: TokenKeys,
+    span: int = BATCH_SPAN,
+    partitions: int | None = None,
 ) -> None:
     """Land one batch. Running it again replaces the batch."""
-    write_batch(protect_in_parallel(batch_slice(positioned, size, batch, span), keys), root, batch)
+    write_batch(protect(batch_slice(positioned, size, batch, span), keys, partitions), root, batch)
 
 
 def ingest_all(
@@ -34,9 +38,16 @@ def ingest_all(
     root: str,
     size: int,
     keys: TokenKeys,
-    batches: int = BATCH_COUNT,
+    batches: int | None = None,
     span: int = BATCH_SPAN,
-) -> None:
-    """Land all batches in one pass without a shuffle, as disjoint segments that batches share."""
-    segmented = with_segment(positioned, size, batches + span - 1)
-    write_table(protect_in_parallel(segmented, keys), root, "segment")
+    partitions: int | None = None,
+) -> int:
+    """Land all batches in one pass without a shuffle, as disjoint segments that batches share.
+
+    Without a number of batches there are as many as the table needs. Returns the number of rows that lie behind the
+    last batch and are not landed: 0 unless ``batches`` is given and too small.
+    """
+    segments = max(1, count_batches(positioned, size)) if batches is None else batches + span - 1
+    segmented = with_segment(positioned, size, segments)
+    write_table(protect(segmented, keys, partitions), root, "segment")
+    return 0 if batches is None else rows_outside(positioned, size, batches, span)

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import functools
 import time
 import uuid
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.operators.contract import TEXT_TYPES, conform
 from tallymill.schema import FLAGGED_FRAUD_ACCURACY, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
+from tallymill.scratch import remove
 from tallymill.sources.files import batch_path, write_table
-from tallymill.sources.jdbc import write_jdbc
+from tallymill.sources.jdbc import CONNECTIONS, write_jdbc
 
 SERVED_TABLES = (TRANSFORMED_DATA, FRAUD_BY_TYPE, FRAUD_STATS, FLAGGED_FRAUD_ACCURACY)
 _LOG = "published"
@@ -46,31 +47,77 @@ class Snapshot:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def announce(self, batches: Iterable[int]) -> str:
-        """Make the tables visible: one small file, which is there as a whole or not at all."""
+        """Make the tables visible: one small file, which is there as a whole or not at all.
+
+        Its version is one above the newest in the log, so the order is that of announcement and no clock counts. A
+        version that is taken meanwhile is not used again; if two runs write the same one at the same moment, both entries
+        stand and the snapshot's name decides.
+        """
         entries = [(self.name, batch) for batch in batches]
-        log = self.spark.createDataFrame(entries, "snapshot string, batch int")
-        log.coalesce(1).write.mode("append").parquet(f"{self.root}/{_LOG}")
-        return self.name
+        log = self.spark.createDataFrame(entries, "snapshot string, batch int").coalesce(1)
+        version = _last_version(self.spark, self.root) + 1
+        while True:
+            try:
+                log.write.mode("errorifexists").parquet(f"{self.root}/{_LOG}/version={version}")
+                return self.name
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                version += 1
+
+
+def _last_version(spark: SparkSession, root: str) -> int:
+    try:
+        log = spark.read.parquet(f"{root}/{_LOG}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return log.agg(F.max("version")).first()[0]
+
+
+def _newest(spark: SparkSession, root: str) -> DataFrame:
+    """``batch, version, snapshot`` of the run of each batch that was announced last."""
+    last = F.max(F.struct("version", "snapshot")).alias("last")
+    return spark.read.parquet(f"{root}/{_LOG}").groupBy("batch").agg(last).select("batch", "last.*")
 
 
 def read_published(spark: SparkSession, root: str, table: str, history: bool = False) -> DataFrame:
-    """A served table: of the batch published last, or with ``history`` of every batch as published last."""
+    """A served table: of the batch announced last, or with ``history`` of every batch as announced last.
+
+    The history is one read of the table, joined with the log; runs that the log does not name are not read.
+    """
     root = root.rstrip("/")
-    log = spark.read.parquet(f"{root}/{_LOG}")
-    newest = log.groupBy("batch").agg(F.max("snapshot").alias("snapshot"))
+    newest = _newest(spark, root)
     if not history:
-        newest = newest.agg(F.max(F.struct("snapshot", "batch")).alias("last")).select("last.*")
-    batches_of: dict[str, list[int]] = {}
-    for entry in newest.collect():  # at most one row for each batch
-        batches_of.setdefault(entry["snapshot"], []).append(entry["batch"])
-    parts = [
-        spark.read.option("basePath", f"{root}/{table}/snapshot={snapshot}")
-        .parquet(f"{root}/{table}/snapshot={snapshot}")
-        .filter(F.col("batch").isin(batches))
-        for snapshot, batches in sorted(batches_of.items())
-    ]
-    rows = functools.reduce(DataFrame.unionByName, parts)
-    return rows if history else rows.drop("batch")
+        snapshot, batch = newest.agg(F.max(F.struct("version", "snapshot", "batch")).alias("last")).select(
+            "last.snapshot", "last.batch"
+        ).first()
+        path = f"{root}/{table}/snapshot={snapshot}"
+        return spark.read.option("basePath", path).parquet(path).filter(F.col("batch") == batch).drop("batch")
+    rows = spark.read.parquet(f"{root}/{table}")
+    columns = [name for name in rows.columns if name not in ("snapshot", "batch")]
+    return rows.join(newest, ["snapshot", "batch"], "left_semi").select(*columns, "batch")
+
+
+def expire(spark: SparkSession, root: str, unchanged_for: float) -> list[str]:
+    """Delete the snapshots that no batch is read from; returns their names.
+
+    Only what was written more than ``unchanged_for`` seconds ago goes: choose more than the longest run or read takes, as
+    a run that is not announced yet looks like a failed one.
+    """
+    root = root.rstrip("/")
+    used = {row["snapshot"] for row in _newest(spark, root).select("snapshot").distinct().collect()}
+    before = (time.time() - unchanged_for) * 1000
+    gone = set()
+    for table in SERVED_TABLES:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+        for found in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder):
+            name = found.getPath().getName().removeprefix("snapshot=")
+            if name not in used and found.getModificationTime() < before:
+                remove(spark, found.getPath().toString())
+                gone.add(name)
+    return sorted(gone)
 
 
 def publish_jdbc(
@@ -79,15 +126,16 @@ def publish_jdbc(
     properties: Mapping[str, str],
     truncate: bool = False,
     declared_types: bool = False,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Replace the database tables, the large one first: a failed load then leaves the metrics as they were.
 
-    With ``declared_types`` the transactions are stored in the types of the contract, not in those of the frame.
+    The transactions are sent over up to ``connections`` connections at a time. With ``declared_types`` the transactions are stored in the types of the contract, not in those of the frame.
     """
     for name in SERVED_TABLES:
         if name != TRANSFORMED_DATA:
             write_jdbc(tables[name].coalesce(1), url, name, properties, truncate)
         elif declared_types:
-            write_jdbc(conform(tables[name]), url, name, properties, truncate, column_types=TEXT_TYPES)
+            write_jdbc(conform(tables[name]), url, name, properties, truncate, connections, column_types=TEXT_TYPES)
         else:
-            write_jdbc(tables[name], url, name, properties, truncate)
+            write_jdbc(tables[name], url, name, properties, truncate, connections)

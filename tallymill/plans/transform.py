@@ -10,7 +10,6 @@ from tallymill.operators import contract, metrics
 from tallymill.operators.cleaning import clean, label_and_name
 from tallymill.plans.publish import Snapshot
 from tallymill.schema import (
-    BATCH_COUNT,
     BATCH_SPAN,
     FLAGGED_FRAUD_ACCURACY,
     FRAUD_BY_TYPE,
@@ -18,14 +17,13 @@ from tallymill.schema import (
     PROTECTED_COLUMNS,
     TRANSFORMED_DATA,
 )
-from tallymill.scratch import scratch_path
+from tallymill.scratch import remove, scratch_path
 from tallymill.sources.files import read_batch, write_table
 
 
-def metric_tables(transformed: DataFrame, *by: str) -> dict[str, DataFrame]:
-    """The three metric tables. Their common summary is written first, so the rows are read once."""
+def metric_tables(transformed: DataFrame, path: str, *by: str) -> dict[str, DataFrame]:
+    """The three metric tables. Their common summary is written to ``path`` first, so the rows are read once."""
     spark = transformed.sparkSession
-    path = scratch_path(spark, "summary")
     write_table(metrics.summarize(transformed, *by), path)
     summary = spark.read.parquet(path)
     return {
@@ -48,29 +46,38 @@ def transform_batch(
     transformed = snapshot.write(TRANSFORMED_DATA, cleaned, batch)
     if strict:
         contract.enforce(transformed)
-    for name, table in metric_tables(transformed).items():
+    summary = scratch_path(spark, "summary")
+    for name, table in metric_tables(transformed, summary).items():
         snapshot.write(name, table, batch)
+    remove(spark, summary)
     return snapshot.announce([batch])
 
 
-def drop_duplicates_by_batch(
-    segmented: DataFrame, batches: int = BATCH_COUNT, span: int = BATCH_SPAN
-) -> DataFrame:
+def drop_duplicates_by_batch(segmented: DataFrame, batches: int, span: int = BATCH_SPAN) -> DataFrame:
     """Within each batch, one row of each group of equal rows.
 
-    Every row is shuffled once, not once per batch: the segments of equal rows meet as bits of one number,
-    and the batches that those bits touch are spelled out afterwards.
+    A row is not shuffled for every batch: the batches of equal rows meet as bits of one number, combined before the
+    shuffle, and are spelled out afterwards. A number holds ``_WORD`` batches; only a row whose own batches lie in two of
+    them goes twice.
     """
-    if batches + span - 1 > 62:
-        raise ValueError("segments must fit into the bits of one number")
     columns = [name for name in segmented.columns if name != "segment"]
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("segment"))
-    distinct = segmented.groupBy(*columns).agg(F.bit_or(bit).alias("_segments"))
-    touched = [
-        F.when(F.col("_segments").bitwiseAND(F.lit(((1 << span) - 1) << (batch - 1))) != 0, F.lit(batch))
-        for batch in range(1, batches + 1)
-    ]
-    return distinct.withColumn("batch", F.explode(F.array_compact(F.array(*touched)))).drop("_segments")
+    first = F.greatest(F.col("segment") - (span - 1), F.lit(0))
+    last = F.least(F.col("segment"), F.lit(batches - 1))
+    words = F.sequence(F.floor(first / _WORD).cast("int"), F.floor(last / _WORD).cast("int"))
+    in_words = segmented.filter(first <= last).withColumn("_word", F.explode(words))
+    low = F.greatest(first - F.col("_word") * _WORD, F.lit(0))
+    high = F.least(last - F.col("_word") * _WORD, F.lit(_WORD - 1))
+    one = F.lit(1).cast("bigint")
+    bits = F.call_function("shiftleft", F.call_function("shiftleft", one, high - low + 1) - 1, low)
+    distinct = in_words.groupBy(*columns, "_word").agg(F.bit_or(bits).alias("_bits"))
+    places = F.sequence(F.lit(0), F.lit(min(batches, _WORD) - 1))
+    touched = F.filter(places, lambda place: F.call_function("shiftright", F.col("_bits"), place).bitwiseAND(one) == 1)
+    batch = (F.col("_word") * _WORD + F.col("_place") + 1).cast("int")
+    return distinct.withColumn("_place", F.explode(touched)).withColumn("batch", batch).drop("_word", "_bits", "_place")
+
+
+#: Batches that the bits of one number stand for.
+_WORD = 62
 
 
 def _for_every_batch(table: DataFrame, batches: int) -> DataFrame:
@@ -84,23 +91,29 @@ def transform_all(
     landed: str,
     keys: TokenKeys,
     served: str,
-    batches: int = BATCH_COUNT,
+    batches: int | None = None,
     span: int = BATCH_SPAN,
     strict: bool = False,
 ) -> str:
     """Clean all batches that were landed as segments and publish their tables as one snapshot.
 
-    ``strict`` also enforces the rules on values, and unique keys within each batch.
+    Without a number of batches, one starts with each landed segment; where they were landed by number, give the same
+    number here. ``strict`` also enforces the rules on values, and unique keys within each batch.
     """
-    segments = decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, keys)
+    landed_rows = spark.read.parquet(landed)
+    if batches is None:
+        batches = 1 + (landed_rows.agg(F.max("segment")).first()[0] or 0)
+    segments = decrypt_columns(landed_rows, PROTECTED_COLUMNS, keys)
     cleaned = label_and_name(drop_duplicates_by_batch(segments, batches, span))
     contract.require_columns(cleaned.drop("batch"))
     snapshot = Snapshot(spark, served)
     transformed = snapshot.write(TRANSFORMED_DATA, cleaned)
     if strict:
         contract.enforce(transformed, "batch")
-    tables = metric_tables(transformed, "batch")
+    summary = scratch_path(spark, "summary")
+    tables = metric_tables(transformed, summary, "batch")
     snapshot.write(FRAUD_BY_TYPE, tables[FRAUD_BY_TYPE])
     for name in (FRAUD_STATS, FLAGGED_FRAUD_ACCURACY):
         snapshot.write(name, _for_every_batch(tables[name], batches))
+    remove(spark, summary)
     return snapshot.announce(range(1, batches + 1))

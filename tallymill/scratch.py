@@ -25,3 +25,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/tallymill/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that jobs have written, wherever it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

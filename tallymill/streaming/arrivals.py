@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,8 +11,9 @@ from tallymill.functions.tokens import TokenKeys
 from tallymill.operators import metrics
 from tallymill.operators.cleaning import clean
 from tallymill.plans.ingest import protect
+from tallymill.plans.publish import read_published
 from tallymill.plans.transform import transform_batch
-from tallymill.schema import CSV_SCHEMA
+from tallymill.schema import CSV_SCHEMA, FRAUD_BY_TYPE
 from tallymill.sources.files import write_batch
 
 
@@ -70,6 +72,17 @@ def publish_arrivals(
     )
 
 
+def fraud_by_type_of_batches(spark: SparkSession, served: str) -> DataFrame:
+    """Fraud by type over all published batches, added up from their own summaries; no transaction is read.
+
+    Copies count once within a batch. Meant for batches of arrivals, which do not overlap.
+    """
+    batches = read_published(spark, served, FRAUD_BY_TYPE, history=True)
+    total, frauds = (F.sum(name).alias(name) for name in ("total_transactions", "fraudulent_transactions"))
+    rate = F.col("fraudulent_transactions") / F.col("total_transactions") * 100
+    return batches.groupBy("transType").agg(total, frauds).withColumn("fraud_rate", rate)
+
+
 def fraud_by_type_so_far(spark: SparkSession, landed: str, keys: TokenKeys) -> DataFrame:
     """Fraud by type over all that has landed."""
     return metrics.fraud_by_type(metrics.summarize(clean(spark.read.parquet(landed), keys)))

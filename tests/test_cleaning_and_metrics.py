@@ -113,14 +113,14 @@ def test_copies_meet_across_segments_of_a_batch(spark):
     assert found == expected
 
 
-def test_too_many_batches_for_the_bits(spark):
-    segmented = spark.createDataFrame([("x", 0)], "name string, segment int")
-    with pytest.raises(ValueError):
-        drop_duplicates_by_batch(segmented, batches=62)
-    assert drop_duplicates_by_batch(segmented, batches=61).count() == 1
-    last = spark.createDataFrame([("x", 61)], "name string, segment int")
-    assert [row["batch"] for row in drop_duplicates_by_batch(last, batches=61).collect()] == [61]
-
+@pytest.mark.parametrize("span", [1, 2, 3, 100])
+def test_any_number_of_batches(spark, span):
+    """Copies within the batches of one number, across two numbers, and behind the last batch."""
+    segments = (0, 0, 1, 59, 60, 61, 62, 63, 123, 124, 125, 199, 210)
+    rows = [(name, segment) for name in "xy" for segment in segments if name == "x" or segment % 2]
+    segmented = spark.createDataFrame(rows, "name string, segment int")
+    found = sorted(map(tuple, drop_duplicates_by_batch(segmented, batches=200, span=span).collect()))
+    assert found == sorted({(name, b) for name, segment in rows for b in range(1, 201) if b - 1 <= segment <= b + span - 2})
 
 def test_raw_schema_takes_a_row(spark):
     row = (1, 2, "A", 3.5, "C1", 1.0, 2.0, "M1", 3.0, 4.0, None, 1, datetime.datetime(2024, 1, 1))

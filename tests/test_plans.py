@@ -15,7 +15,7 @@ from tallymill.operators.cleaning import clean, drop_step
 from tallymill.operators.contract import ContractError, conform
 from tallymill.operators.position import with_source_position
 from tallymill.plans.ingest import ingest_all, ingest_batch, protect
-from tallymill.plans.publish import SERVED_TABLES, Snapshot, publish_jdbc, read_published
+from tallymill.plans.publish import SERVED_TABLES, Snapshot, expire, publish_jdbc, read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.plans.transform import transform_batch
 from tallymill.schema import BATCH_COUNT, FLAG_COLUMNS, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
@@ -79,7 +79,7 @@ def test_reading_a_batch_touches_no_other(spark, rows, tmp_path):
 
 
 def test_published_batches_are_pruned(spark, rows, keys, tmp_path):
-    run_all(rows, str(tmp_path / "landed"), str(tmp_path / "served"), 100, keys)
+    run_all(rows, str(tmp_path / "landed"), str(tmp_path / "served"), 100, keys, BATCH_COUNT)
     last = read_published(spark, str(tmp_path / "served"), TRANSFORMED_DATA)
     plan = last._sc._jvm.PythonSQLUtils.explainString(last._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(batch" in plan and "= 12)]" in plan
@@ -133,6 +133,42 @@ def test_latest_and_history(spark, rows, keys, tmp_path):
     assert history.columns[-1] == "batch" and read_published(spark, served, FRAUD_BY_TYPE, True).count() == 10
 
 
+def by_hand(spark, served, batch, total, started=None):
+    """A snapshot of one metric table with one row."""
+    snapshot = started or Snapshot(spark, served)
+    snapshot.write(FRAUD_BY_TYPE, spark.createDataFrame([("PAYMENT", total)], "transType string, total_transactions long"), batch)
+    return snapshot
+
+
+def test_the_order_is_that_of_announcement(spark, tmp_path):
+    served = str(tmp_path / "served")
+    early = Snapshot(spark, served)
+    by_hand(spark, served, 1, 2).announce([1])
+    by_hand(spark, served, 1, 3, early).announce([1])
+    assert by_type(read_published(spark, served, FRAUD_BY_TYPE)) == {"PAYMENT": 3}
+    assert by_type(read_published(spark, served, FRAUD_BY_TYPE, history=True)) == {"PAYMENT": 3}
+
+
+def test_history_takes_few_jobs_and_old_snapshots_expire(spark, tmp_path):
+    served = str(tmp_path / "served")
+    for batch in (*range(1, 41), 7):
+        by_hand(spark, served, batch, batch * (2 if batch == 7 else 1)).announce([batch])
+    half = by_hand(spark, served, 3, 99)
+    for name in SERVED_TABLES:
+        os.makedirs(f"{served}/{name}", exist_ok=True)
+    spark.sparkContext.setJobGroup("history", "history")
+    found = {row["batch"]: row["total_transactions"] for row in read_published(spark, served, FRAUD_BY_TYPE, True).collect()}
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("history")
+    spark.sparkContext.setJobGroup("others", "others")
+    assert sorted(found) == list(range(1, 41)) and found[3] == 3 and found[7] == 14
+    assert len(jobs) <= 12
+    assert expire(spark, served, 3600) == []
+    gone = expire(spark, served, 0)
+    assert len(gone) == 2 and half.name in gone
+    again = {row["batch"]: row["total_transactions"] for row in read_published(spark, served, FRAUD_BY_TYPE, True).collect()}
+    assert again == found
+
+
 def test_a_failed_run_changes_nothing_for_readers(spark, rows, keys, tmp_path):
     landed, served = str(tmp_path / "landed"), str(tmp_path / "served")
     run_batch(rows, landed, served, 100, 1, keys)
@@ -310,11 +346,18 @@ def test_command_line(spark, sf_dir, rows, tmp_path, monkeypatch, capsys, databa
     expected = clean(drop_step(batch_slice(rows, 100, 2)))
     assert same(read_published(spark, served, TRANSFORMED_DATA), expected)
     assert same(read_jdbc(spark, database, TRANSFORMED_DATA), expected)
-    run(spark, ["ingest-all", "--source", staged, "--landed", f"{landed}-all"])
+    run(spark, ["ingest-all", "--source", staged, "--landed", f"{landed}-all", "--batches", "3"])
+    assert "600 rows lie behind batch 3" in capsys.readouterr().out
+    run(spark, ["ingest-all", "--source", staged, "--landed", f"{landed}-all", "--partitions", "2"])
     run(spark, ["transform-all", "--landed", f"{landed}-all", "--served", f"{served}-all", "--preview"])
-    assert read_published(spark, f"{served}-all", FRAUD_STATS, history=True).count() == BATCH_COUNT
+    assert read_published(spark, f"{served}-all", FRAUD_STATS, history=True).count() == 10
     run(spark, ["arrivals", raw, f"{landed}-new", str(tmp_path / "checkpoint")])
     assert spark.read.parquet(f"{landed}-new").count() == 1000
+    arrived = ["arrivals", raw, f"{landed}-b", str(tmp_path / "progress"), "--served", f"{served}-b"]
+    run(spark, [*arrived, "--jdbc-url", database, "--connections", "3"])
+    assert read_jdbc(spark, database, TRANSFORMED_DATA).count() == clean(drop_step(tx(spark, sf_dir))).count()
+    run(spark, ["expire", f"{served}-b", "--unchanged-for", "0"])
+    assert read_published(spark, f"{served}-b", FRAUD_STATS).count() == 1
     monkeypatch.delenv("BATCH_SIZE")
     with pytest.raises(ValueError):
         run(spark, ["ingest", "2", "--source", staged, "--landed", landed])
