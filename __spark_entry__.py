@@ -621,9 +621,9 @@ FROM tx JOIN (SELECT unnest(range(3)) AS copy) c ON c.copy = 0 OR "transactionID
 ),
 copied_size AS (SELECT greatest(1, count(*) // 149) AS size FROM copied),
 in_batches AS (
-SELECT DISTINCT CAST(b.batch AS INT) AS batch, "transactionID"
-FROM copied, copied_size s, (SELECT unnest(range(1, 100000)) AS batch) b
-WHERE b.batch IN (j // s.size, j // s.size + 1) AND (b.batch - 1) * s.size < (SELECT count(*) FROM copied)
+SELECT DISTINCT CAST(batch AS INT) AS batch, "transactionID"
+FROM (SELECT "transactionID", unnest([j // size, j // size + 1]) AS batch FROM copied, copied_size), copied_size s
+WHERE batch >= 1 AND (batch - 1) * s.size < (SELECT count(*) FROM copied)
 )
 """
 
