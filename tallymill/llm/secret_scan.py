@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
-Candidates are long words with a digit or with many capitals in a row. A forest judges them by length, character classes and transitions between them,
-coverage by words that are frequent in the documents, the path, and the words beside them. It is trained from labelled findings.
+Candidates are runs of letters, digits and ``+/_-`` anywhere in a text: long ones with a digit or with many capitals in a row. A forest judges them by
+length, character classes and transitions between them, coverage by words that are frequent in the documents, the path, and the text beside them.
+It is trained from labelled findings.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ PATH_BUCKETS = 16
 KEEP_FROM = 0.5
 
 _OPAQUE = r"[0-9]|[A-Z]{16}"
+#: Characters of the text on either side of a candidate, at most.
+BESIDE = 64
+# What stands before a run, and the run, with the signs that fill up base64; the last match is what stands behind all runs.
+_PIECES = r"\G([^A-Za-z0-9+/_-]*+)([A-Za-z0-9+/_-]++(?:={1,2}(?![\"']?[A-Za-z0-9+/_=-]))?|\z)"
+_ASSIGNED = r"[=:]>?[\s\"'`\\(\[{<]*$"
 
 # Words beside credentials, words beside samples, and forms of well-known keys.
 CREDENTIAL = r"(?i)(passw|passwd|pwd|secret|token|api.?key|apikey|auth|credential|bearer|private)"
@@ -38,33 +44,36 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", path: str = "source", text: str = "text") -> DataFrame:
-    """``doc_id, path, place, before, word, behind, candidate``; ``place`` counts the words of the text."""
+    """``doc_id, path, place, before, candidate, behind`` of every opaque run, wherever in a word it stands.
+
+    ``place`` counts the runs of the text, so that it tells the candidates of a text apart; ``before`` and ``behind`` are the text on
+    either side, up to the second run before and the first one behind, of ``BESIDE`` characters at most.
+    """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
-        F.split(whole_text(text), r"\s+").alias("words"),
-    )
-    long = F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("place"), w.alias("word"))),
-        lambda x: (F.length(x["word"]) >= LEAST_LENGTH) & x["word"].rlike(_OPAQUE),
+        F.regexp_extract_all(whole_text(text), F.lit(_PIECES), 1).alias("gaps"),
+        F.regexp_extract_all(whole_text(text), F.lit(_PIECES), 2).alias("runs"),
     )
-    return (
-        rows.select("doc_id", "path", "words", F.explode(long).alias("found"))
-        .select(
-            "doc_id",
-            "path",
-            F.col("found.place").alias("place"),
-            F.coalesce(F.get("words", F.col("found.place") - 2), F.lit("")).alias("two_before"),
-            F.coalesce(F.get("words", F.col("found.place") - 1), F.lit("")).alias("one_before"),
-            F.col("found.word").alias("word"),
-            F.coalesce(F.get("words", F.col("found.place") + 1), F.lit("")).alias("behind"),
+
+    def piece(name: str, i: Column) -> Column:
+        return F.coalesce(F.get(name, i), F.lit(""))
+
+    def wanted(i: Column) -> Column:
+        run = F.get("runs", i)
+        return (F.length(run) >= LEAST_LENGTH) & run.rlike(_OPAQUE)
+
+    def found(i: Column) -> Column:
+        before = F.concat(piece("runs", i - 2), piece("gaps", i - 1), piece("runs", i - 1), piece("gaps", i))
+        return F.struct(
+            i.alias("place"),
+            F.right(before, F.lit(BESIDE)).alias("before"),
+            F.get("runs", i).alias("candidate"),
+            F.left(F.concat(piece("gaps", i + 1), piece("runs", i + 1)), F.lit(BESIDE)).alias("behind"),
         )
-        .withColumn("candidate", F.regexp_extract("word", r"([A-Za-z0-9+/_-]{%d,}={0,2})[^A-Za-z0-9+/_-]*$" % LEAST_LENGTH, 1))
-        .filter(F.col("candidate").rlike(_OPAQUE))
-        # An equals sign or colon on its own belongs to the word before it.
-        .withColumn("before", F.when(F.col("one_before").rlike("^[=:]+$"), F.concat("two_before", "one_before")).otherwise(F.col("one_before")))
-        .drop("one_before", "two_before")
-    )
+
+    places = F.filter(F.sequence(F.lit(0), F.size("runs") - 1), wanted)
+    return rows.select("doc_id", "path", F.explode(F.transform(places, found)).alias("found")).select("doc_id", "path", "found.*")
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
@@ -97,9 +106,10 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
             "coverage": 1 - F.length(left) / length,
             "path_bucket": F.pmod(F.xxhash64("path"), F.lit(PATH_BUCKETS)).cast("double"),
             "credential_before": F.col("before").rlike(CREDENTIAL).cast("double"),
-            "credential_inside": F.expr("substring_index(word, candidate, 1)").rlike(CREDENTIAL).cast("double"),
-            "sample_beside": F.concat_ws(" ", "before", "word", "behind").rlike(SAMPLE).cast("double"),
-            "assigned": (F.col("before").rlike("[=:]$") | F.expr("substring_index(word, candidate, 1)").rlike("[=:][\"']?$")).cast("double"),
+            "credential_inside": F.col("candidate").rlike(CREDENTIAL).cast("double"),
+            "sample_beside": F.concat("before", "candidate", "behind").rlike(SAMPLE).cast("double"),
+            # What follows the colon of a URL's scheme is not assigned.
+            "assigned": (F.col("before").rlike(_ASSIGNED) & ~F.col("candidate").startswith("//")).cast("double"),
             "before_length": F.length("before").cast("double"),
             "behind_length": F.length("behind").cast("double"),
         }
@@ -110,7 +120,7 @@ def rule_label() -> Column:
     """Labels of findings that need no judgement: well-known keys and assigned credentials are secrets; numbers, samples
     and words of the language are not. Null for all others, which only the forest judges."""
     opaque = (F.col("length") >= 16) & (F.col("digits") > 0.1) & (F.col("coverage") < 0.3)
-    named = (F.col("credential_before") + F.col("credential_inside") > 0) & (F.col("assigned") > 0)
+    named = (F.col("credential_before") > 0) & (F.col("assigned") > 0)
     return (
         F.when(F.col("sample_beside") > 0, 0.0)
         .when(F.col("candidate").rlike(KNOWN_KEY) | (named & opaque), 1.0)

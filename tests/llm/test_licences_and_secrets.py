@@ -114,3 +114,27 @@ def test_forest_on_held_out_findings(spark):
     both = judged.join(truth.select("doc_id", "place", "truth"), ["doc_id", "place"]).filter("doc_id % 2 = 1 AND truth IS NOT NULL")
     right, total = both.agg(F.sum((F.col("is_secret") == (F.col("truth") == 1)).cast("int")), F.count("*")).first()
     assert total > 200 and right >= 0.97 * total
+
+
+HEX = "3f786850e387550fdab836ed7e6dc881de23001b"
+INSIDE = [
+    (1, f'{{"token":"{HEX}","x":1}}', [HEX]),
+    (2, f"https://h/api?token={HEX}&x=1", [HEX]),
+    (3, "postgres://u:9fK2mQ7xLp0Zt4Rw@db:5432/app", ["9fK2mQ7xLp0Zt4Rw"]),
+    (4, f"key={KEYS[2]},region=us", [KEYS[2]]),
+    (5, f"a={KEYS[2]};b={HEX}", [KEYS[2], HEX]),
+    (6, f"{HEX}.{HEX}", [HEX, HEX]),
+    (7, f"pad=c2VjcmV0LWtleS0x== {'é' * 50_000}", ["c2VjcmV0LWtleS0x=="]),
+    (9, 'a="c2VjcmV0LWtleS0x==";b="c2VjcmV0LWtleS0y"', ["c2VjcmV0LWtleS0x==", "c2VjcmV0LWtleS0y"]),
+    (8, "[" + ",".join([f'"{HEX}"'] * 20_000) + "]", [HEX] * 20_000),
+]
+
+
+def test_candidates_inside_words(spark):
+    found = secret_scan.candidates(notes(spark, [(i, "src", text) for i, text, _ in INSIDE])).collect()
+    for i, _, expected in INSIDE:
+        own = [r.candidate for r in sorted((r for r in found if r.doc_id == i), key=lambda r: r.place)]
+        assert [c for c in own if len(c) > 11] == expected
+    assert len({(r.doc_id, r.place) for r in found}) == len(found)
+    beside = {r.doc_id: (r.before, r.behind) for r in found if r.doc_id in (1, 2) and r.candidate == HEX}
+    assert beside == {1: ('{"token":"', '","x'), 2: ("//h/api?token=", "&x")}
