@@ -1,8 +1,8 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
-Candidates are runs of letters, digits and ``+/_-`` anywhere in a text: long ones with a digit or with many capitals in a row. A forest judges them by
-length, character classes and transitions between them, coverage by words that are frequent in the documents, the path, and the text beside them.
-It is trained from labelled findings.
+Candidates are runs of letters, digits and ``+/_-`` anywhere in a text: all that follow a credential word or are assigned, whatever their length and
+letters, and of the others long ones with a digit or with many capitals in a row. A forest judges them by length, character classes and transitions
+between them, coverage by words that are frequent in the documents, the path, and the text beside them. It is trained from labelled findings.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallymill.llm.common import saved, whole_text
 
+#: Of runs that nothing names or assigns.
 LEAST_LENGTH = 12
 #: Words that stand for a language: the most frequent of at least four letters.
 DICTIONARY_WORDS = 300
@@ -33,8 +34,8 @@ _PIECES = r"\G([^A-Za-z0-9+/_-]*+)([A-Za-z0-9+/_-]++(?:={1,2}(?![\"']?[A-Za-z0-9
 _ASSIGNED = r"[=:]>?[\s\"'`\\(\[{<]*$"
 
 # Words beside credentials, words beside samples, and forms of well-known keys.
-CREDENTIAL = r"(?i)(passw|passwd|pwd|secret|token|api.?key|apikey|auth|credential|bearer|private)"
-SAMPLE = r"(?i)(example|sample|dummy|placeholder|test|xxxx|your)"
+CREDENTIAL = r"(?i)(passw|passwd|passphrase|passcode|pwd|secret|token|api.?key|apikey|access.?key|auth|credential|bearer|private)"
+SAMPLE = r"(?i)(?<![a-z])(examples?|samples?|dummy|placeholders?|tests?|x{4,}|your)(?![a-z])"
 KNOWN_KEY = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[A-Za-z0-9_-]{35}$"
 
 FEATURES = [
@@ -44,7 +45,7 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", path: str = "source", text: str = "text") -> DataFrame:
-    """``doc_id, path, place, before, candidate, behind`` of every opaque run, wherever in a word it stands.
+    """``doc_id, path, place, before, candidate, behind`` of every run that is opaque, follows a credential word or is assigned.
 
     ``place`` counts the runs of the text, so that it tells the candidates of a text apart; ``before`` and ``behind`` are the text on
     either side, up to the second run before and the first one behind, of ``BESIDE`` characters at most.
@@ -54,20 +55,26 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", path: str = "source", te
         F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
         F.regexp_extract_all(whole_text(text), F.lit(_PIECES), 1).alias("gaps"),
         F.regexp_extract_all(whole_text(text), F.lit(_PIECES), 2).alias("runs"),
+        whole_text(text).rlike(CREDENTIAL).alias("named"),
     )
 
     def piece(name: str, i: Column) -> Column:
         return F.coalesce(F.get(name, i), F.lit(""))
 
+    def before(i: Column) -> Column:
+        whole = F.concat(piece("runs", i - 2), piece("gaps", i - 1), piece("runs", i - 1), piece("gaps", i))
+        return F.right(whole, F.lit(BESIDE))
+
     def wanted(i: Column) -> Column:
         run = F.get("runs", i)
-        return (F.length(run) >= LEAST_LENGTH) & run.rlike(_OPAQUE)
+        opaque = (F.length(run) >= LEAST_LENGTH) & run.rlike(_OPAQUE)
+        assigned = F.get("gaps", i).rlike(_ASSIGNED)
+        return (run != "") & (opaque | assigned | (F.col("named") & before(i).rlike(CREDENTIAL)))
 
     def found(i: Column) -> Column:
-        before = F.concat(piece("runs", i - 2), piece("gaps", i - 1), piece("runs", i - 1), piece("gaps", i))
         return F.struct(
             i.alias("place"),
-            F.right(before, F.lit(BESIDE)).alias("before"),
+            before(i).alias("before"),
             F.get("runs", i).alias("candidate"),
             F.left(F.concat(piece("gaps", i + 1), piece("runs", i + 1)), F.lit(BESIDE)).alias("behind"),
         )
@@ -120,10 +127,14 @@ def rule_label() -> Column:
     """Labels of findings that need no judgement: well-known keys and assigned credentials are secrets; numbers, samples
     and words of the language are not. Null for all others, which only the forest judges."""
     opaque = (F.col("length") >= 16) & (F.col("digits") > 0.1) & (F.col("coverage") < 0.3)
+    # Passwords may be shorter; those of one case and no digits are left to the forest, as a word that the dictionary lacks looks the same.
+    mixed = F.col("candidate").rlike("[A-Za-z].*[0-9]|[0-9].*[A-Za-z]") | (F.col("case_turns") > 0.4)
+    short = (F.col("length") >= 8) & mixed & (F.col("coverage") < 0.3) & (F.col("credential_inside") == 0)
     named = (F.col("credential_before") > 0) & (F.col("assigned") > 0)
     return (
-        F.when(F.col("sample_beside") > 0, 0.0)
-        .when(F.col("candidate").rlike(KNOWN_KEY) | (named & opaque), 1.0)
+        F.when(F.col("candidate").rlike(KNOWN_KEY), 1.0)
+        .when(F.col("sample_beside") > 0, 0.0)
+        .when(named & (opaque | short), 1.0)
         .when((F.col("digits") == 1) | (F.col("coverage") > 0.6) | F.col("candidate").rlike("^[A-Za-z]+[0-9]{1,4}$"), 0.0)
     )
 

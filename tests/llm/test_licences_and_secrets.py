@@ -138,3 +138,45 @@ def test_candidates_inside_words(spark):
     assert len({(r.doc_id, r.place) for r in found}) == len(found)
     beside = {r.doc_id: (r.before, r.behind) for r in found if r.doc_id in (1, 2) and r.candidate == HEX}
     assert beside == {1: ('{"token":"', '","x'), 2: ("//h/api?token=", "&x")}
+
+
+NAMED = [
+    (1, "password=hunter2x", "hunter2x"),
+    (2, 'passwd: "kT9mQ4wz"', "kT9mQ4wz"),
+    (3, "api_key = qWmZpLkVtRbNxYcD", "qWmZpLkVtRbNxYcD"),
+    (4, "the passphrase is correcthorsebatterystaple", "correcthorsebatterystaple"),
+    (5, "DB_PWD=zq7", "zq7"),
+    (6, "colour=ultramarine", "ultramarine"),
+]
+
+
+def test_named_and_assigned_runs_are_scored_whatever_their_letters(spark):
+    rows = [(i, "src", text) for i, text, _ in NAMED] + [(7, "src", "plain prose, ultramarine1 and ULTRAMARINE")]
+    found = secret_scan.candidates(notes(spark, rows)).collect()
+    own = {i: {r.candidate for r in found if r.doc_id == i} for i in range(1, 8)}
+    assert all(run in own[i] for i, _, run in NAMED)
+    assert own[7] == {"ultramarine1"}
+
+
+def test_labels_of_keys_and_samples(spark):
+    texts = [f"the latest {KEYS[1]} contest", f"a contest {KEYS[2]} yourself", f"a test {KEYS[3]} key"]
+    texts += [f"a test {HEX} key", f"the latest password={HEX}", "password=hunter2x", "my test_password=hunter2x"]
+    found = secret_scan.candidates(notes(spark, [(i, "src", x) for i, x in enumerate(texts)]))
+    rows = secret_scan.with_features(found, []).withColumn("label", secret_scan.rule_label()).collect()
+    label = {(r.doc_id, r.candidate): r.label for r in rows}
+    assert [label[i, KEYS[i + 1]] for i in range(3)] == [1, 1, 1]
+    assert label[3, HEX] == 0 and label[4, HEX] == 1
+    assert label[5, "hunter2x"] == 1 and label[6, "hunter2x"] == 0
+
+
+def test_forest_keeps_short_passwords(spark):
+    import random
+
+    chance = random.Random(5)
+    letters = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    secrets = {i: "".join(chance.choices(letters, k=chance.randint(9, 11))) + "a7" for i in range(60)}
+    rows = [(i, "src", f"prose password={x[-10:]} goes on, id: {chance.randrange(10**9)}") for i, x in secrets.items()]
+    found = secret_scan.scan_secrets(notes(spark, rows)).collect()
+    kept = {(r.doc_id, r.candidate) for r in found if r.is_secret}
+    assert {(i, x[-10:]) for i, x in secrets.items()} <= kept
+    assert not any(c.isdigit() for _, c in kept)
