@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
-Each line that may speak of a licence is compared with short notices, weighted by how rare their words are in the documents. A file
-without a licence of its own takes that of the nearest directory above it that holds a licence file: distinct directories are
+Each line that may speak of a licence is compared with short notices, the whole text and the comment at its top with full licence texts,
+weighted by how rare their words are in the documents. A file without a licence of its own takes that of the nearest directory above it that holds a licence file: distinct directories are
 joined with licensed ones by each of their ancestors' paths.
 """
 
@@ -11,6 +11,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from importlib import resources
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from tallymill.llm.common import by_row, saved, whole_text
 
 LEAST_COSINE = 0.6
-#: A file is a licence file if lines that speak of its licence hold this share of its words, or by its name.
+#: A whole text, or the comment at its top, is a licence text from this cosine on; a file that is one is a licence file.
+TEXT_COSINE = 0.8
+#: So is a file if lines that speak of its licence hold this share of its words, or one with a licence by its name.
 FILE_SHARE = 0.5
 FILE_NAME = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
 
@@ -63,6 +66,21 @@ TEMPLATES = {
 
 _WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
 _TRIGGER = re.compile(r"licen[cs]|copyright|permission|public domain|all rights|redistribut|\bcc0?\b|\bmit\b", re.IGNORECASE)
+# The comment that a text begins with.
+_COMMENT = re.compile(
+    r"/\*.*?\*/|<!--.*?-->|\"{3}.*?\"{3}|'{3}.*?'{3}|(?:[ \t]*(?:#|//|--|;|%)[^\n]*(?:\n|\Z)|[ \t]*\n)+", re.DOTALL
+)
+
+
+def licence_texts() -> dict[str, list[str]]:
+    """Full texts by licence, from the files beside this module."""
+    files = [f for f in resources.files("tallymill.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")]
+    return {f.name.removesuffix(".txt"): [f.read_text(encoding="utf-8")] for f in sorted(files, key=lambda f: f.name)}
+
+
+def leading_comment(text: str) -> str:
+    found = _COMMENT.match(text.lstrip())
+    return found.group() if found else ""
 
 
 def words(text: str) -> list[str]:
@@ -91,9 +109,12 @@ def document_frequencies(docs: DataFrame, known: frozenset[str], text: str = "te
 
 
 class Matcher:
-    """Unit vectors of the notices over known words."""
+    """Unit vectors of the notices over known words, and of full texts over theirs."""
 
-    def __init__(self, templates: dict[str, list[str]], total: int, counts: dict[str, int]) -> None:
+    def __init__(
+        self, templates: dict[str, list[str]], total: int, counts: dict[str, int], texts: dict[str, list[str]] | None = None
+    ) -> None:
+        self.texts = Matcher(texts, total, counts) if texts else None
         known = vocabulary(templates)
         self.weight = {w: math.log((1 + total) / (1 + counts.get(w, 0))) + 1 for w in known}
         self.rare = math.log(1 + total) + 1
@@ -109,10 +130,23 @@ class Matcher:
         own = self.vector(words(line))
         return max(((sum(x * own.get(w, 0.0) for w, x in notice.items()), name) for name, notice in self.notices), default=(0.0, ""))
 
+    def whole(self, text: str) -> tuple[float, str] | None:
+        """The licence whose full text this is, with its cosine. The text of AGPL-3.0 is that of GPL-3.0 but for its title and a section."""
+        cosine, name = self.texts.best(text) if self.texts and _TRIGGER.search(text) else (0.0, "")
+        if cosine < TEXT_COSINE:
+            return None
+        return cosine, "AGPL-3.0" if name == "GPL-3.0" and "affero" in words(text[:2000])[:20] else name
+
     def scan(self, text: str, least: float) -> tuple[str | None, float | None, float]:
-        """The licence of the most similar line, its cosine, and the share of words in lines of that licence."""
+        """The licence of the whole text, or of the comment at its top, else of the most similar line; its cosine, and the share of words that speak
+        of that licence, which is 1 for a licence text."""
         found = []
         if _TRIGGER.search(text):
+            if whole := self.whole(text):
+                return whole[1], whole[0], 1.0
+            comment = leading_comment(text)
+            if in_comment := self.whole(comment):
+                return in_comment[1], in_comment[0], min(1.0, len(words(comment)) / max(1, len(words(text))))
             for line in text.split("\n"):
                 for part in (line, *re.split(r"(?<=[.!?])\s+", line)):
                     if _TRIGGER.search(part):
@@ -144,15 +178,16 @@ def scan_licences(
 ) -> DataFrame:
     """One row per document: ``doc_id, path, licence, cosine, origin, licence_path``.
 
-    ``origin`` is ``own`` where a line is similar enough to a notice, ``inherited`` where the nearest directory above, its own one first,
+    ``origin`` is ``own`` where a line is similar enough to a notice, or the text or its leading comment to a full licence text, ``inherited`` where the nearest directory above, its own one first,
     holds a licence file (``licence_path``), else ``none`` with no licence. Of several licence files in a directory the one with
     the largest cosine counts, then the one with the smallest path. Paths are cut at ``/``; a null path is the top directory's.
     A null text is empty and has no licence of its own. Rows that repeat an id are reported each; an empty table gives an empty
     result. Other columns are not read.
     """
     templates = templates or TEMPLATES
-    total, counts = document_frequencies(docs, vocabulary(templates), text)
-    matcher = Matcher(templates, total, counts)
+    texts = licence_texts()
+    total, counts = document_frequencies(docs, vocabulary(templates) | vocabulary(texts), text)
+    matcher = Matcher(templates, total, counts, texts)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), whole_text(text).alias("text")
     )

@@ -180,3 +180,16 @@ def test_forest_keeps_short_passwords(spark):
     kept = {(r.doc_id, r.candidate) for r in found if r.is_secret}
     assert {(i, x[-10:]) for i, x in secrets.items()} <= kept
     assert not any(c.isdigit() for _, c in kept)
+
+
+def test_full_texts_make_licence_files_under_any_name(spark):
+    texts = {name: found for name, (found,) in licences.licence_texts().items()}
+    mit = "Copyright (c) 2021 Some Body and contributors\n\n" + texts["MIT"]
+    agpl = texts["GPL-3.0"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
+    commented = "".join(f"# {line}\n" for line in mit.splitlines()) + "\nimport os\n" + "value = other + more\n" * 400
+    rows = [(i, f"d{i}/doc.txt", x) for i, x in enumerate(texts.values())]
+    rows += [(20, "m/17.txt", mit), (21, "m/n/18.txt", "prose"), (22, "g/19.txt", agpl), (23, "c/a.py", commented), (24, "c/b.py", "x = 1")]
+    found = {r.doc_id: (r.licence, r.origin) for r in licences.scan_licences(files(spark, rows), "path").collect()}
+    assert [found[i] for i in range(len(texts))] == [(name, "own") for name in texts]
+    assert found[20] == ("MIT", "own") and found[21] == ("MIT", "inherited") and found[22] == ("AGPL-3.0", "own")
+    assert found[23] == ("MIT", "own") and found[24] == (None, "none")
