@@ -43,6 +43,29 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    ],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    ],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
@@ -64,6 +87,10 @@ TEMPLATES = {
     "Proprietary": ["All rights reserved.", "Copyright. All rights reserved.", "All rights reserved. No part may be reproduced without permission."],
 }
 
+for _name, _notices in TEMPLATES.items():
+    if _name != "Proprietary":
+        _notices.append(f"SPDX-License-Identifier: {_name}")
+
 _WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
 _TRIGGER = re.compile(r"licen[cs]|copyright|permission|public domain|all rights|redistribut|\bcc0?\b|\bmit\b", re.IGNORECASE)
 # The comment that a text begins with.
@@ -87,6 +114,26 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def versions(name: str) -> frozenset[str]:
+    """How notices write the version that a licence's name holds: 3.0 or 3."""
+    return frozenset(x for v in re.findall(r"[0-9.]+", name) for x in (v, v.removesuffix(".0")))
+
+
+#: Words that tell licences of one family apart; a line and a notice agree in them.
+_KINDS = {"lesser": "l", "lgpl": "l", "affero": "a", "agpl": "a", "nc": "nc", "noncommercial": "nc", "sa": "sa", "sharealike": "sa"}
+_KINDS |= {"nd": "nd", "noderivatives": "nd", "noderivs": "nd"}
+#: The version may stand some words behind a notice that names none.
+_VERSION = re.compile(r"(?:version|\bv\.?)\s*([0-9]+(?:\.[0-9]+)*)", re.IGNORECASE)
+VERSION_WITHIN = 400
+
+
+def kinds(found: list[str]) -> frozenset[str]:
+    """``noncommercial`` and the like; hyphens part words, so that Share-Alike is two."""
+    joined = "".join(found)
+    spelt = {_KINDS[w] for w in found if w in _KINDS}
+    return frozenset(spelt | {_KINDS[w] for w in ("noncommercial", "sharealike", "noderivatives", "noderivs") if w in joined})
+
+
 def vocabulary(templates: dict[str, list[str]]) -> frozenset[str]:
     return frozenset(w for notices in templates.values() for notice in notices for w in words(notice))
 
@@ -118,7 +165,13 @@ class Matcher:
         known = vocabulary(templates)
         self.weight = {w: math.log((1 + total) / (1 + counts.get(w, 0))) + 1 for w in known}
         self.rare = math.log(1 + total) + 1
-        self.notices = [(name, self.vector(words(n))) for name, notices in templates.items() for n in notices]
+        self.names = frozenset(templates)
+        self.notices = [
+            (name, self.vector(found), versions(name).intersection(found), kinds(found))
+            for name, notices in templates.items()
+            for n in notices
+            for found in [words(n)]
+        ]
 
     def vector(self, found: list[str]) -> dict[str, float]:
         """Words that no notice has weigh as much as the rarest, so that other text on a line lowers its cosine."""
@@ -126,13 +179,31 @@ class Matcher:
         norm = math.sqrt(sum(x * x for x in vector.values())) or 1.0
         return {w: x / norm for w, x in vector.items()}
 
-    def best(self, line: str) -> tuple[float, str]:
-        own = self.vector(words(line))
-        return max(((sum(x * own.get(w, 0.0) for w, x in notice.items()), name) for name, notice in self.notices), default=(0.0, ""))
+    def best(self, line: str, behind: str = "", whole: bool = False) -> tuple[float, str]:
+        """The most similar notice's cosine and licence. A version that a notice names has to stand in the line; where it names none, the
+        one that the line, or the text ``behind`` it, names decides. In ``whole`` texts other licences may be spoken of."""
+        found = words(line)
+        own, seen, kind = self.vector(found), set(found), kinds(found)
+        best = (0.0, "")
+        for name, notice, version, notice_kind in self.notices:
+            if version.isdisjoint(seen) and version or (not whole and kind != notice_kind):
+                continue
+            cosine = sum(x * own.get(w, 0.0) for w, x in notice.items())
+            if (cosine, name) > best and (name := name if version or whole else self.dated(name, line + behind)):
+                best = max(best, (cosine, name))
+        return best
+
+    def dated(self, name: str, text: str) -> str | None:
+        """The licence of the family and version that the text names; None where no template has that one."""
+        family, _, own = name.rpartition("-")
+        if not family.endswith("GPL") or not (named := _VERSION.search(text)) or named[1] in versions(own):
+            return name
+        other = [n for n in self.names if n.startswith(f"{family}-") and named[1] in versions(n)]
+        return other[0] if other else None
 
     def whole(self, text: str) -> tuple[float, str] | None:
         """The licence whose full text this is, with its cosine. The text of AGPL-3.0 is that of GPL-3.0 but for its title and a section."""
-        cosine, name = self.texts.best(text) if self.texts and _TRIGGER.search(text) else (0.0, "")
+        cosine, name = self.texts.best(text, whole=True) if self.texts and _TRIGGER.search(text) else (0.0, "")
         if cosine < TEXT_COSINE:
             return None
         return cosine, "AGPL-3.0" if name == "GPL-3.0" and "affero" in words(text[:2000])[:20] else name
@@ -147,10 +218,13 @@ class Matcher:
             comment = leading_comment(text)
             if in_comment := self.whole(comment):
                 return in_comment[1], in_comment[0], min(1.0, len(words(comment)) / max(1, len(words(text))))
+            past = 0
             for line in text.split("\n"):
-                for part in (line, *re.split(r"(?<=[.!?])\s+", line)):
-                    if _TRIGGER.search(part):
-                        cosine, name = self.best(part)
+                past += len(line) + 1
+                # A notice may be wrapped: last comes the line with the one behind it.
+                for part in (line, *re.split(r"(?<=[.!?])\s+", line), line + "\n" + text[past : past + VERSION_WITHIN].split("\n", 1)[0]):
+                    if _TRIGGER.search(part) and (part is line or _TRIGGER.search(line)):
+                        cosine, name = self.best(part, "\n" + text[past : past + VERSION_WITHIN])
                         if cosine >= least:
                             found.append((cosine, name, len(words(part))))
                             break

@@ -193,3 +193,32 @@ def test_full_texts_make_licence_files_under_any_name(spark):
     assert [found[i] for i in range(len(texts))] == [(name, "own") for name in texts]
     assert found[20] == ("MIT", "own") and found[21] == ("MIT", "inherited") and found[22] == ("AGPL-3.0", "own")
     assert found[23] == ("MIT", "own") and found[24] == (None, "none")
+
+
+HEADERS = [
+    ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("# SPDX-License-Identifier: MIT", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"),
+    ("This file is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("It is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+    ("It is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("It is licensed under the GNU General Public License, version 9.", None),
+    ("Code licensed under the BSD 2-Clause License.", "BSD-2-Clause"),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", None),
+    (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License\n"
+        "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "GPL-2.0",
+    ),
+    (
+        "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+        "# the Free Software Foundation; either version 3 of the License, or\n# (at your option) any later version.",
+        "GPL-3.0",
+    ),
+]
+
+
+@pytest.mark.parametrize("text, licence", HEADERS)
+def test_headers_that_are_no_copies_of_templates(text, licence):
+    for total in (0, 100_000):
+        assert licences.Matcher(licences.TEMPLATES, total, {}).scan(text, licences.LEAST_COSINE)[0] == licence
