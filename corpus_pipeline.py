@@ -29,7 +29,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold most of a benchmark item go."""
-    return tiling.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return tiling.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

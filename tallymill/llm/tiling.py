@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Five words in a row that a document shares with an item are a seed; the items that enough seeds point to are
+Five words in a row that a document shares with an item are a seed, or all words of a shorter item; the items that enough seeds point to are
 compared with the document. The longest run of words that both have, and that no tile covers yet, becomes a tile, again and
 again until runs are shorter than a seed; Karp-Rabin hashes find it. A document is contaminated by an item if tiles
 cover most of the item's words, in whatever order they stand.
@@ -9,6 +9,7 @@ cover most of the item's words, in whatever order they stand.
 from __future__ import annotations
 
 import functools
+import re
 import string
 from itertools import repeat
 from typing import NamedTuple
@@ -28,9 +29,18 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TO_SPACE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
+# Thai to Burmese, Khmer, kana and Han, which put no spaces between words; their marks and full-width ones.
+_NO_SPACES = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_WIDE_MARKS = re.compile("[\u3000-\u3003\u3008-\u3011\u3014-\u301f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+
+
 def words(text: str | None) -> list[bytes]:
-    """Lower-case words: runs of characters other than ASCII white space and ASCII punctuation."""
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
+    """Lower-case words: runs of characters other than ASCII white space and ASCII punctuation; of scripts that put no spaces
+    between words, single characters."""
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _NO_SPACES.sub(r" \g<0> ", _WIDE_MARKS.sub(" ", text))
+    return text.encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 
 def run_hashes(ids: np.ndarray, length: int) -> np.ndarray:
@@ -100,43 +110,59 @@ def tiles(doc: np.ndarray, item: np.ndarray, least: int = SEED_WORDS) -> list[tu
     return found
 
 
+class Seeds(NamedTuple):
+    hashes: np.ndarray
+    item_of: np.ndarray
+    place: np.ndarray
+
+
 class Block(NamedTuple):
-    """Items as numbers, and where each seed stands in them."""
+    """Items as numbers, and where each seed stands in them, by the length of seeds."""
 
     numbers: dict[bytes, int]
     ids: list
     items: list[np.ndarray]
-    seeds: np.ndarray
-    item_of: np.ndarray
-    place: np.ndarray
+    seeds: dict[int, Seeds]
 
 
-def make_block(rows: list[tuple], size: int) -> Block:
+def make_block(rows: list[tuple], size: int, short: bool = False) -> Block:
     numbers: dict[bytes, int] = {}
     items = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in words(text)], np.int64) for _, text in rows]
-    hashes = [run_hashes(x, size) for x in items]
-    seeds = np.concatenate([*hashes, np.zeros(0, np.uint64)])
-    item_of = np.concatenate([*(np.full(len(h), i) for i, h in enumerate(hashes)), np.zeros(0, np.int64)]).astype(np.int64)
-    place = np.concatenate([*(np.arange(len(h)) for h in hashes), np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.argsort(seeds, kind="stable")
-    return Block(numbers, [key for key, _ in rows], items, seeds[order], item_of[order], place[order])
+    # With ``short``, a shorter item is a seed as a whole.
+    lengths = [size if len(x) >= size else len(x) * short for x in items]
+    return Block(numbers, [key for key, _ in rows], items, {n: _seeds(items, lengths, n) for n in sorted(set(lengths) - {0})})
+
+
+def _seeds(items: list[np.ndarray], lengths: list[int], length: int) -> Seeds:
+    own = [i for i, n in enumerate(lengths) if n == length]
+    found = [run_hashes(items[i], length) for i in own]
+    hashes = np.concatenate(found)
+    order = np.argsort(hashes, kind="stable")
+    item_of = np.concatenate([np.full(len(h), i, np.int64) for i, h in zip(own, found, strict=True)])
+    place = np.concatenate([np.arange(len(h), dtype=np.int64) for h in found])
+    return Seeds(hashes[order], item_of[order], place[order])
 
 
 def compare(text: str | None, block: Block, size: int, least: float) -> list[tuple]:
     """``(item, item_words, tiles, tiled_words)`` of the items that tiles cover well enough."""
     own = words(text)
     doc = np.fromiter(map(block.numbers.get, own, repeat(0)), np.int64, len(own))
+    return [hit for length in block.seeds for hit in _covered(doc, block, length, least)]
+
+
+def _covered(doc: np.ndarray, block: Block, size: int, least: float) -> list[tuple]:
     known = np.flatnonzero(_free(doc == 0, size)) if len(doc) >= size else np.zeros(0, np.int64)
     if not len(known):
         return []
+    of_items = block.seeds[size]
     seeds = np.unique(run_hashes(doc, size)[known])
-    first, past = np.searchsorted(block.seeds, seeds), np.searchsorted(block.seeds, seeds, "right")
+    first, past = np.searchsorted(of_items.hashes, seeds), np.searchsorted(of_items.hashes, seeds, "right")
     hits = np.concatenate([*(np.arange(a, b) for a, b in zip(first, past, strict=True) if b > a), np.zeros(0, np.int64)]).astype(int)
     found = []
-    for i in np.unique(block.item_of[hits]):
+    for i in np.unique(of_items.item_of[hits]):
         item = block.items[i]
         under = np.zeros(len(item), bool)
-        for at in block.place[hits[block.item_of[hits] == i]]:
+        for at in of_items.place[hits[of_items.item_of[hits] == i]]:
             under[at : at + size] = True
         if under.sum() >= least * len(item):  # tiles cannot cover more words than seeds do
             laid = tiles(doc, item, size)
@@ -154,11 +180,12 @@ def contaminated(
     doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
+    short: bool = False,
 ) -> DataFrame:
     """``doc_id, mark, item_id, item_words, tiles, tiled_words, coverage`` of each document and item that it holds.
 
     Whole texts of all documents are compared with all items, tiles have ``size`` words or more, and coverage is at
-    least ``least``. Items of fewer than ``size`` words, null ones too, hold no tile and contaminate nothing; nor are
+    least ``least``. Items of fewer than ``size`` words are one tile as a whole with ``short``, else they contaminate nothing; nor do null ones and those without words; nor are
     null or empty documents contaminated. Rows that repeat an id are reported each, null ids as null. An empty table on
     either side gives an empty result. Other columns are not read. ``mark`` is a hash of the text.
     """
@@ -177,13 +204,13 @@ def contaminated(
     found = []
     for i in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-        found.append(one(make_block([(r["item_id"], r["text"]) for r in part.collect()], size)))
+        found.append(one(make_block([(r["item_id"], r["text"]) for r in part.collect()], size, short)))
     return functools.reduce(DataFrame.unionByName, found)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
-    hits = saved(contaminated(docs, benchmark, doc_id=doc_id, text=text).select("doc_id", "mark").distinct(), "contaminated")
+    hits = saved(contaminated(docs, benchmark, doc_id=doc_id, text=text, short=short).select("doc_id", "mark").distinct(), "contaminated")
     hits = hits.toDF("_hit_id", "_hit_mark")
     marked = docs.withColumn("_own_mark", F.xxhash64(whole_text(text)))
     same = (F.col("_own_mark") == F.col("_hit_mark")) & F.col(doc_id).eqNullSafe(F.col("_hit_id"))

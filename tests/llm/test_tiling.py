@@ -109,3 +109,20 @@ def test_query_agrees_with_brute_force(spark, sf_dir):
                     expected.add((d.doc_id, key))
     found = queries.op5_benchmark_decontamination(spark, sf_dir).collect()
     assert {(r.doc_id, r.item_id) for r in found} == expected and len(found) == len(expected)
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese, thai = "床前明月光，疑是地上霜。举头望明月，低头思故乡。", "กรุงเทพมหานครเป็นเมืองหลวง"
+    items = [(1, "Quite short item"), (2, chinese), (3, thai), (4, "月光"), (5, "..."), (6, None), (7, ITEM)]
+    docs = [
+        (1, "a quite, short item here"),
+        (2, "quite a short item"),
+        (3, "前言" + chinese + "后记"),
+        (4, "คำ" + thai + "คำ"),
+        (5, "明月 no"),
+        (6, ITEM + " x"),
+        (7, "quite short"),
+    ]
+    found = {(r.doc_id, r.item_id): r.coverage for r in tiling.contaminated(*frames(spark, docs, items), short=True).collect()}
+    assert found == {(1, 1): 1.0, (3, 2): 1.0, (3, 4): 1.0, (4, 3): 1.0, (6, 7): 1.0}
+    assert sorted(r.doc_id for r in tiling.drop_contaminated(*frames(spark, docs, items), short=True).collect()) == [2, 5, 7]
