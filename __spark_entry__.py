@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallymill.fixtures import positioned_tx, tx
 from tallymill.functions.tokens import TokenKeys, decrypt_columns, encrypt_columns, with_token_check
 from tallymill.operators import batching, cleaning, contract, metrics, serving
-from tallymill.operators.position import drop_position, stage_in_key_order, with_source_position
+from tallymill.operators.position import drop_position, stage_in_key_order
 from tallymill.plans.ingest import ingest_all, ingest_batch, protect
 from tallymill.plans.publish import read_published
 from tallymill.plans.run import run_all, run_batch
@@ -394,9 +394,8 @@ def _with_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """
     path = scratch_path(spark, "copies")
     copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("transactionID") % 3 == 0, 3).otherwise(1)))
-    rows = tx(spark, sf_dir).withColumn("_copy", copies).drop("_copy")
-    files.write_table(rows.repartitionByRange(1, "transactionID").sortWithinPartitions("transactionID"), path)
-    copied = with_source_position(spark.read.parquet(path))
+    rows = positioned_tx(spark, sf_dir).withColumn("_copy", copies).drop("_copy")
+    copied = stage_in_key_order(rows, ["transactionID"], path)
     return copied, max(1, copied.count() // 149)
 
 

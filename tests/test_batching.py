@@ -195,3 +195,13 @@ def test_except_all_counts_copies(spark, monkeypatch, copies_per_task):
     difference = except_all(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema))
     assert multiset(difference) == Counter(left) - Counter(right)
     assert difference.columns == ["x", "y"]
+
+
+def test_copies_are_staged_by_many_tasks_in_key_order(spark, sf_dir):
+    import __spark_entry__
+
+    rows = __spark_entry__._with_copies(spark, sf_dir)[0].orderBy("_file", "_block", "_row").collect()
+    assert len({r["_block"] for r in rows}) > 1
+    keys = [r["transactionID"] for r in rows]
+    assert keys == sorted(keys) and all(keys.count(k) == 3 for k in keys[:60] if k % 3 == 0)
+    assert len({(r["_block"], r["_row"]) for r in rows}) == len(rows)
