@@ -16,9 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends there, and lost executors cost no second run."""
+def saved(df: DataFrame, label: str, kept: list[str] | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends there, and lost executors cost no second run.
+
+    The path is added to ``kept``, for a caller that removes its tables after use.
+    """
     path = scratch_path(df.sparkSession, label)
+    if kept is not None:
+        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

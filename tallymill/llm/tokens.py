@@ -125,7 +125,7 @@ class PrefixCounter:
     def __init__(self, path: str) -> None:
         self.tokenizer, added = load(path)
         model = json.loads(self.tokenizer.to_str())["model"]
-        self.symbols = _byte_symbols()
+        self.symbols = byte_symbols()
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.rank = {pair: i for i, pair in enumerate(pairs)}
         self.parts = {a + b: (a, b) for a, b in reversed(pairs)}
@@ -244,7 +244,7 @@ def _changes(counts: list[int]) -> bytes:
     return array("b", map(int.__sub__, counts, [0, *counts[:-1]])).tobytes()
 
 
-def _byte_symbols() -> list[str]:
+def byte_symbols() -> list[str]:
     """The character that stands for each byte: printable Latin-1 characters for themselves, others from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     other = iter(range(0x100, 0x200))
