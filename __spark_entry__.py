@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from tallymill.fixtures import positioned_tx, tx
 from tallymill.functions.tokens import TokenKeys, decrypt_columns, encrypt_columns, with_token_check
 from tallymill.operators import batching, cleaning, contract, metrics, serving
-from tallymill.operators.position import drop_position, stage_in_key_order
+from tallymill.operators.position import BlockIndex, drop_position, stage_in_key_order
 from tallymill.plans.ingest import ingest_all, ingest_batch, protect
-from tallymill.plans.publish import read_published
+from tallymill.plans.publish import SERVED_TABLES, publish_jdbc, read_published
 from tallymill.plans.run import run_all, run_batch
 from tallymill.schema import (
     BATCH_COUNT,
@@ -29,13 +29,17 @@ from tallymill.schema import (
 )
 from tallymill.scratch import scratch_path
 from tallymill.sources import files
-from tallymill.sources.jdbc import read_jdbc, split_by_key, write_jdbc
+from tallymill.sources.jdbc import read_balanced, read_jdbc, split_by_key, write_jdbc
+from tallymill.sources.layout import Layout
 from tallymill.streaming.arrivals import (
+    count_arrivals,
+    fraud_by_type_counted,
     fraud_by_type_of_batches,
     fraud_by_type_so_far,
     land_arrivals,
     publish_arrivals,
     read_arrivals,
+    read_landed,
 )
 
 try:  # the operators on training text and their pipeline may be absent
@@ -176,6 +180,75 @@ def jdbc_query(spark, sf_dir):
     return read_jdbc(spark, url, largest)
 
 
+def jdbc_balanced(spark, sf_dir):
+    """A key that most rows share a small part of, read in balanced ranges, into which table the rows were loaded twice."""
+    url = spark.conf.get(_JDBC_URL_SETTING, _JDBC_URL)
+    path = scratch_path(spark, "outgoing")
+    key = F.col("transactionID")
+    rows = tx(spark, sf_dir).select(F.when(key % 10 < 9, key).otherwise(key * 1000).alias("key"), "amount")
+    files.write_table(rows, path)
+    for _ in range(2):
+        write_jdbc(files.read_table(spark, path), url, "skewed_keys")
+    reads = 8
+    balanced = read_balanced(spark, url, "skewed_keys", "key", reads).withColumn("part", F.spark_partition_id())
+    sizes = balanced.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("key").alias("keys"))
+    total = F.sum("rows")
+    return sizes.agg(
+        total.alias("total_rows"), F.sum("keys").alias("key_sum"), (F.max("rows") * reads <= 2 * total).alias("balanced")
+    )
+
+
+def jdbc_publish(spark, sf_dir):
+    """All four tables of a batch take their places at once; a load that fails on a row leaves them."""
+    url = spark.conf.get(_JDBC_URL_SETTING, _JDBC_URL)
+    landed, served = scratch_path(spark, "landed"), scratch_path(spark, "served")
+    run_batch(positioned_tx(spark, sf_dir), landed, served, _batch_size(spark, sf_dir), 2, _keys(spark), partitions=_tasks(spark))
+    tables = {name: read_published(spark, served, name) for name in SERVED_TABLES}
+    publish_jdbc(tables, url, {})
+    broken = F.when(F.col("total_flagged") >= 0, F.raise_error(F.lit("no such row"))).otherwise(F.col("total_flagged"))
+    try:
+        publish_jdbc(tables | {FLAGGED_FRAUD_ACCURACY: tables[FLAGGED_FRAUD_ACCURACY].withColumn("total_flagged", broken)}, url, {})
+        failed = False
+    except Exception:  # noqa: BLE001
+        failed = True
+    stored = _rounded(read_jdbc(spark, url, FRAUD_BY_TYPE), "fraud_rate")
+    rows = read_jdbc(spark, url, TRANSFORMED_DATA).groupBy("transType").agg(F.count(F.lit(1)).alias("stored_rows"))
+    return stored.join(rows, "transType").withColumn("failed", F.lit(failed))
+
+
+def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth row with a broken amount, another tenth with a broken time."""
+    turn, rows = F.col("transactionID") % 10, tx(spark, sf_dir)
+    amount = F.when(turn == 3, F.lit("12,x")).otherwise(F.col("amount").cast("string"))
+    time = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return rows.withColumns({"amount": amount, "timestamp": F.when(turn == 7, F.lit("soon")).otherwise(time)})
+
+
+def csv_rejects(spark, sf_dir):
+    """Rows and rejects of one pass over files, and of an arrival, by the key that their text holds."""
+    source, keys = scratch_path(spark, "csv"), _keys(spark)
+    files.write_csv(_planted(spark, sf_dir), source)
+    staged = files.stage_csv_with_rejects(files.read_csv_with_rejects(spark, source), scratch_path(spark, "staged"))
+    landed, checkpoint = (scratch_path(spark, name) for name in ("landed", "progress"))
+    for _ in range(2):
+        land_arrivals(read_arrivals(spark, source, rejects=True), landed, checkpoint, keys).awaitTermination()
+    found = None
+    for way, rows, rejects in (
+        ("files", staged.rows, staged.rejects),
+        ("arrivals", read_landed(spark, landed, keys), read_landed(spark, landed, keys, rejects=True)),
+    ):
+        text_key = F.split("line", ",")[1].cast("bigint")
+        for part in (
+            rows.select("transactionID", "amount", F.lit(False).alias("rejected")),
+            rejects.select(text_key.alias("transactionID"), F.lit(None).cast("double").alias("amount"), F.lit(True).alias("rejected")),
+        ):
+            part = part.withColumn("way", F.lit(way))
+            found = part if found is None else found.union(part)
+    return found.withColumns(
+        {"row_count": F.lit(staged.row_count).cast("bigint"), "reject_count": F.lit(staged.reject_count).cast("bigint")}
+    )
+
+
 def limit_prefix(spark, sf_dir):
     return batching.limit_prefix(positioned_tx(spark, sf_dir), 3 * _batch_size(spark, sf_dir))
 
@@ -194,6 +267,36 @@ def batch_fanout(spark, sf_dir):
     return batching.fan_out(positioned_tx(spark, sf_dir), _batch_size(spark, sf_dir), BATCH_COUNT)
 
 
+def fan_out_many(spark, sf_dir):
+    """A batch every ten rows, over the whole table."""
+    return batching.fan_out(positioned_tx(spark, sf_dir), 10)
+
+
+def batch_slice_indexed(spark, sf_dir):
+    """Two batches of a staged table, whose stored index tells where they lie."""
+    path, size = scratch_path(spark, "staged"), _batch_size(spark, sf_dir)
+    stage_in_key_order(positioned_tx(spark, sf_dir), ["transactionID"], path)
+    staged, index = spark.read.parquet(path), BlockIndex.load(spark, path)
+    first, second = (batching.batch_slice(staged, size, number, index=index) for number in (2, 10))
+    return first.withColumn("batch", F.lit(2)).union(second.withColumn("batch", F.lit(10)))
+
+
+def batch_files(spark, sf_dir):
+    """A hundred batches, each written as three files at most: the rows that are found again, and whether files are few."""
+    rows, path = positioned_tx(spark, sf_dir), scratch_path(spark, "batches")
+    index = BlockIndex.of(rows)
+    size = max(1, index.rows // 99)
+    batches = batching.count_batches(index.rows, size)
+    segmented = batching.with_segment_rank(rows, size, batches + 1, index)
+    fanned = segmented.withColumn("batch", F.explode(batching.batches_of(F.col("segment"), batches))).drop("segment")
+    per_file = 2 * size // 3 + 1
+    layout = Layout(fanned.groupBy("batch").agg(F.count(F.lit(1)).alias("rows")), rows_per_file=per_file)
+    files.replace_partitions(layout.apply(fanned, F.col("_rank") - (F.col("batch") - 1) * size), path, "batch")
+    found = files.read_table(spark, path).select("batch", F.col("_metadata.file_path").alias("file"))
+    counted = found.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_rows"), F.count_distinct("file").alias("files"))
+    return counted.select("batch", "batch_rows", (F.col("files") <= F.ceil(F.col("batch_rows") / per_file)).alias("few_files"))
+
+
 def drop_step(spark, sf_dir):
     return cleaning.drop_step(tx(spark, sf_dir))
 
@@ -281,6 +384,10 @@ def contract_conform(spark, sf_dir):
 
 
 def contract_violations(spark, sf_dir):
+    return contract.violations(_rule_breakers(spark, sf_dir))
+
+
+def _rule_breakers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that break each rule, by the last digits of the key; one column at a time."""
     turn = F.col("transactionID") % 20
 
@@ -291,23 +398,21 @@ def contract_violations(spark, sf_dir):
         return column
 
     rows = cleaning.rename_type(tx(spark, sf_dir))
-    return contract.violations(
-        rows.withColumns(
-            {
-                "transType": broken("transType", (0, "x" * 51), (1, None)),
-                "amount": broken("amount", (2, "abc"), (3, "10000000000000"), (4, None)),
-                "nameOrig": broken("nameOrig", (5, "x" * 60), (6, None)),
-                "nameDest": broken("nameDest", (7, "x" * 51), (8, None)),
-                "oldbalanceOrg": broken("oldbalanceOrg", (9, "1e14")),
-                "isFlaggedFraud": broken("isFlaggedFraud", (10, None)),
-                "isFraud": broken("isFraud", (11, "x")),
-                "timestamp": broken("timestamp", (12, "soon"), (13, None)),
-                "transactionID": broken("transactionID", (14, None)),
-                "newbalanceOrig": broken("newbalanceOrig", (15, "1e14")),
-                "oldbalanceDest": broken("oldbalanceDest", (16, "-1e14")),
-                "newbalanceDest": broken("newbalanceDest", (17, "ten")),
-            }
-        )
+    return rows.withColumns(
+        {
+            "transType": broken("transType", (0, "x" * 51), (1, None)),
+            "amount": broken("amount", (2, "abc"), (3, "10000000000000"), (4, None)),
+            "nameOrig": broken("nameOrig", (5, "x" * 60), (6, None)),
+            "nameDest": broken("nameDest", (7, "x" * 51), (8, None)),
+            "oldbalanceOrg": broken("oldbalanceOrg", (9, "1e14")),
+            "isFlaggedFraud": broken("isFlaggedFraud", (10, None)),
+            "isFraud": broken("isFraud", (11, "x")),
+            "timestamp": broken("timestamp", (12, "soon"), (13, None)),
+            "transactionID": broken("transactionID", (14, None)),
+            "newbalanceOrig": broken("newbalanceOrig", (15, "1e14")),
+            "oldbalanceDest": broken("oldbalanceDest", (16, "-1e14")),
+            "newbalanceDest": broken("newbalanceDest", (17, "ten")),
+        }
     )
 
 
@@ -323,6 +428,36 @@ def scatter_amounts(spark, sf_dir):
     return serving.scatter_points(_cleaned(spark, sf_dir), "timestamp", "amount")
 
 
+def scatter_sample(spark, sf_dir):
+    return serving.scatter_sample(_cleaned(spark, sf_dir), "transactionID", "amount", points=1200, cells=8)
+
+
+def scatter_sample_flags(spark, sf_dir):
+    """The default chart."""
+    return serving.scatter_sample(_cleaned(spark, sf_dir))
+
+
+def chart_guard(spark, sf_dir):
+    """What can be drawn of the cleaned table, of a batch behind its end, and of one without a column."""
+    charts = {"scatter": ("transactionID", "isFraud"), "amounts": ("timestamp", "amount")}
+    cleaned = _cleaned(spark, sf_dir)
+    behind = cleaning.clean(cleaning.drop_step(_batch(11)(spark, sf_dir)))
+    tables = {"whole": cleaned, "behind the end": behind, "without amounts": cleaned.drop("amount")}
+    found = None
+    for name, rows in tables.items():
+        status = serving.chart_status(rows, charts).withColumn("table", F.lit(name))
+        found = status if found is None else found.union(status)
+    return found
+
+
+def contract_watch(spark, sf_dir):
+    """The rules that the written rows break, as counted while they were written."""
+    watch = contract.Watch(_rule_breakers(spark, sf_dir))
+    files.write_table(watch.rows, scratch_path(spark, "watched"))
+    counted = [(rule, column, rows) for (rule, column), rows in watch.violations().items()]
+    return spark.createDataFrame(counted, 'rule string, column string, violations bigint').coalesce(1)
+
+
 def fraud_type_bars(spark, sf_dir):
     return serving.fraud_type_bars(metrics.fraud_by_type(_summary(spark, sf_dir)))
 
@@ -475,6 +610,30 @@ def stream_fraud_by_type_added(spark, sf_dir):
     return _rounded(fraud_by_type_of_batches(spark, served), "fraud_rate")
 
 
+def _counted_arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Half of the rows, then all of them with every third one twice, then nothing new."""
+    keys, source = _keys(spark), scratch_path(spark, "arriving")
+    landed, summaries, checkpoint = (scratch_path(spark, name) for name in ("landed", "summaries", "progress"))
+    rows = tx(spark, sf_dir)
+    turns = [rows.filter(F.col("transactionID") % 2 == 0), rows.union(rows.filter(F.col("transactionID") % 3 == 0)), None]
+    for number, turn in enumerate(turns):
+        if turn is not None:
+            files.write_csv(turn, f"{source}/turn={number}")
+        count_arrivals(read_arrivals(spark, f"{source}/*"), landed, summaries, checkpoint, keys).awaitTermination()
+    return landed, summaries
+
+
+def stream_dedup(spark, sf_dir):
+    landed, _ = _counted_arrivals(spark, sf_dir)
+    rows = decrypt_columns(spark.read.parquet(landed), PROTECTED_COLUMNS, _keys(spark))
+    return _number_flags(rows.drop("batch"))
+
+
+def stream_dedup_fraud_by_type(spark, sf_dir):
+    _, summaries = _counted_arrivals(spark, sf_dir)
+    return _rounded(fraud_by_type_counted(spark, summaries), "fraud_rate")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "row_count": row_count,
@@ -487,6 +646,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_read": batch_read,
         "jdbc_roundtrip": jdbc_roundtrip,
         "jdbc_query": jdbc_query,
+        "jdbc_balanced": jdbc_balanced,
+        "jdbc_publish": jdbc_publish,
+        "csv_rejects": csv_rejects,
         "limit_prefix": limit_prefix,
         "except_all": except_all,
         "batch_slice": _batch(2),
@@ -495,6 +657,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_slice_disjoint": _batch(2, span=1),
         "batch_slice_by_key": batch_slice_by_key,
         "batch_fanout": batch_fanout,
+        "fan_out_many": fan_out_many,
+        "batch_slice_indexed": batch_slice_indexed,
+        "batch_files": batch_files,
         "drop_step": drop_step,
         "rename_type": rename_type,
         "cast_flags": cast_flags,
@@ -510,9 +675,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_check": schema_check,
         "contract_conform": contract_conform,
         "contract_violations": contract_violations,
+        "contract_watch": contract_watch,
         "contract_duplicate_keys": contract_duplicate_keys,
         "scatter_points": scatter_points,
         "scatter_amounts": scatter_amounts,
+        "scatter_sample": scatter_sample,
+        "scatter_sample_flags": scatter_sample_flags,
+        "chart_guard": chart_guard,
         "fraud_type_bars": fraud_type_bars,
         "clean": clean,
         "ingest_batch": ingest_one_batch,
@@ -533,6 +702,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_fraud_by_type": stream_fraud_by_type,
         "stream_fraud_by_type_added": stream_fraud_by_type_added,
         "stream_batches": stream_batches,
+        "stream_dedup": stream_dedup,
+        "stream_dedup_fraud_by_type": stream_dedup_fraud_by_type,
     }
     if training_text:
         found |= training_text.queries() | {"pipeline": corpus_pipeline.run}
@@ -613,6 +784,20 @@ LEFT JOIN (SELECT "transactionID" % 20 AS k FROM tx
   ON list_contains(r.turns, t.k)
 GROUP BY r."rule", r."column"
 """
+# The steps of the axes are floors of shares, the last one closed; slots are dealt by the hash of the key.
+_SAMPLE = """
+SELECT {x}, {y}, cell_rows FROM (
+    SELECT *, CAST(count(*) OVER (PARTITION BY x_cell, y_cell) AS BIGINT) AS cell_rows,
+           row_number() OVER (PARTITION BY x_cell, y_cell, h % {slots} ORDER BY h) AS place
+    FROM (
+        SELECT {x}, {y}, CAST('0x' || substr(md5(CAST("transactionID" AS VARCHAR)), 1, 15) AS BIGINT) AS h,
+               least({x_steps} - 1, floor(({x_place} - min({x_place}) OVER ())
+                     / ((max({x_place}) OVER () - min({x_place}) OVER ()) / {x_steps}))) AS x_cell,
+               least({y_steps} - 1, floor(({y_place} - min({y_place}) OVER ())
+                     / ((max({y_place}) OVER () - min({y_place}) OVER ()) / {y_steps}))) AS y_cell
+        FROM cleaned))
+WHERE place = 1
+"""
 _COPIED = """
 copied AS (
 SELECT *, row_number() OVER (ORDER BY "transactionID") - 1 AS j
@@ -646,6 +831,15 @@ def oracle_sql() -> dict[str, str]:
         "parquet_roundtrip": "SELECT * FROM tx",
         "batch_read": batch_2,
         "jdbc_roundtrip": 'SELECT * EXCLUDE ("type"), "type" AS "transType" FROM tx',
+        "jdbc_balanced": """
+            SELECT count(*) AS total_rows, TRUE AS balanced, CAST(sum(
+                CASE WHEN "transactionID" % 10 < 9 THEN "transactionID" ELSE "transactionID" * 1000 END) AS BIGINT) AS key_sum FROM tx""",
+        "jdbc_publish": f"""
+            SELECT {_BY_TYPE}, count(*) AS stored_rows, TRUE AS failed FROM all_clean WHERE batch = 2 GROUP BY "transType" """,
+        "csv_rejects": """
+            SELECT "transactionID", CASE WHEN NOT rejected THEN "amount" END AS "amount", rejected, way,
+                   count(*) FILTER (NOT rejected) OVER () // 2 AS row_count, count(*) FILTER (rejected) OVER () // 2 AS reject_count
+            FROM (SELECT *, "transactionID" % 10 IN (3, 7) AS rejected, unnest(['files', 'arrivals']) AS way FROM tx)""",
         "jdbc_query": 'SELECT max(n) AS "largest_type" FROM (SELECT count(*) AS n FROM cleaned GROUP BY "transType")',
         "limit_prefix": _RANGE.format(first=0, past=3),
         "except_all": "SELECT * EXCLUDE (batch) FROM fanned EXCEPT ALL SELECT * FROM tx",
@@ -658,6 +852,16 @@ def oracle_sql() -> dict[str, str]:
                 SELECT *, row_number() OVER (ORDER BY "amount" NULLS FIRST, i) - 1 AS k FROM numbered)
             WHERE k >= size AND k < 3 * size""",
         "batch_fanout": "SELECT * FROM fanned",
+        "fan_out_many": """
+            SELECT * EXCLUDE (i, size, batch), CAST(batch AS INT) AS batch
+            FROM (SELECT *, unnest([i // 10, i // 10 + 1]) AS batch FROM numbered)
+            WHERE batch >= 1 AND (batch - 1) * 10 < (SELECT count(*) FROM tx)""",
+        "batch_slice_indexed": "SELECT * FROM fanned WHERE batch IN (2, 10)",
+        "batch_files": """
+            SELECT CAST(batch AS INT) AS batch, count(*) AS batch_rows, TRUE AS few_files
+            FROM (SELECT n, unnest([i // n, i // n + 1]) AS batch
+                  FROM (SELECT i, greatest(1, (SELECT count(*) // 99 FROM tx)) AS n FROM numbered))
+            WHERE batch >= 1 AND (batch - 1) * n < (SELECT count(*) FROM tx) GROUP BY batch""",
         "drop_step": 'SELECT * EXCLUDE ("step") FROM tx',
         "rename_type": 'SELECT * EXCLUDE ("type"), "type" AS "transType" FROM tx',
         "cast_flags": """
@@ -691,10 +895,21 @@ def oracle_sql() -> dict[str, str]:
                    CAST("oldbalanceDest" AS DECIMAL(15,2)) AS "oldbalanceDest",
                    CAST("newbalanceDest" AS DECIMAL(15,2)) AS "newbalanceDest") FROM cleaned""",
         "contract_violations": _VIOLATIONS,
+        "contract_watch": _VIOLATIONS,
         "contract_duplicate_keys": """
             SELECT "transactionID", count(*) AS "rows" FROM fanned GROUP BY "transactionID" HAVING count(*) > 1""",
         "scatter_points": 'SELECT "transactionID", "isFraud" FROM cleaned',
         "scatter_amounts": 'SELECT "timestamp", "amount" FROM cleaned',
+        "scatter_sample": _SAMPLE.format(
+            x='"transactionID"', y='"amount"', x_place='"transactionID"::DOUBLE', y_place='"amount"', x_steps=8, y_steps=8, slots=1200 // 81),
+        "scatter_sample_flags": _SAMPLE.format(
+            x='"transactionID"', y='"isFraud"', x_place='"transactionID"::DOUBLE', y_place='"isFraud"::INT::DOUBLE',
+            x_steps=16, y_steps=2, slots=1024 // 51),
+        "chart_guard": """
+            SELECT chart, "table", CASE WHEN "table" = 'without amounts' AND chart = 'amounts' THEN 'missing column'
+                   WHEN "table" = 'behind the end' OR (SELECT count(*) FROM cleaned) = 0 THEN 'empty' ELSE 'ready' END AS status
+            FROM (SELECT unnest(['whole', 'behind the end', 'without amounts']) AS "table"),
+                 (SELECT unnest(['scatter', 'amounts']) AS chart)""",
         "fraud_type_bars": """
             SELECT "transType", CAST(sum(CAST("isFraud" AS INT)) AS BIGINT) AS fraudulent_transactions
             FROM cleaned GROUP BY "transType" """,
@@ -719,6 +934,8 @@ def oracle_sql() -> dict[str, str]:
         "served_history": f"""
             SELECT batch, {_BY_TYPE} FROM all_clean WHERE batch IN (1, 10) GROUP BY batch, "transType" """,
         "stream_ingest": 'SELECT * EXCLUDE ("step") FROM tx',
+        "stream_dedup": 'SELECT * EXCLUDE ("step") FROM tx',
+        "stream_dedup_fraud_by_type": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
         "stream_fraud_by_type": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
         "stream_fraud_by_type_added": f'SELECT {_BY_TYPE} FROM cleaned GROUP BY "transType"',
         "stream_batches": f"""

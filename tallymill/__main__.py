@@ -13,12 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymill.functions.tokens import TokenKeys
-from tallymill.operators.position import with_source_position
+from tallymill.operators.position import BlockIndex, with_source_position
 from tallymill.plans.ingest import ingest_all, ingest_batch
 from tallymill.plans.publish import SERVED_TABLES, expire, publish_jdbc, read_published
 from tallymill.plans.transform import transform_all, transform_batch
 from tallymill.schema import BATCH_SPAN
-from tallymill.sources.files import read_batch, read_csv, stage_csv
+from tallymill.sources.files import read_batch, read_csv, read_csv_with_rejects, stage_csv, stage_csv_with_rejects
 from tallymill.sources.jdbc import CONNECTIONS
 from tallymill.streaming.arrivals import land_arrivals, publish_arrivals, read_arrivals
 
@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     stage.add_argument("source")
     stage.add_argument("staged")
     stage.add_argument("--infer-types", action="store_true")
+    stage.add_argument("--rejects", action="store_true", help="keep lines that do not fit the schema beside the rows")
 
     for name, help_text in (("ingest", "land one batch"), ("ingest-all", "land all batches in one pass")):
         command = commands.add_parser(name, help=help_text)
@@ -82,9 +83,12 @@ def _database_options(command: argparse.ArgumentParser) -> None:
     command.add_argument("--connections", type=int, default=CONNECTIONS, help="to the database, at a time")
 
 
-def _positioned(spark: SparkSession, path: str) -> DataFrame:
+def _positioned(spark: SparkSession, path: str) -> tuple[DataFrame, BlockIndex | None]:
+    """A staged table with its index, or a Parquet table whose rows have to be counted."""
     table = spark.read.parquet(path)
-    return table if "_row" in table.columns else with_source_position(table)
+    if "_row" not in table.columns:
+        return with_source_position(table), None
+    return table, BlockIndex.load(spark, path)
 
 
 def _batch_size() -> int:
@@ -100,13 +104,13 @@ def _preview(table: DataFrame, rows: int = 5) -> None:
 
 
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> None:
-    rows, keys = _positioned(spark, options.source), TokenKeys.from_environment(spark)
+    (rows, index), keys = _positioned(spark, options.source), TokenKeys.from_environment(spark)
     if options.command == "ingest":
-        ingest_batch(rows, options.landed, _batch_size(), options.batch, keys, options.span, options.partitions)
+        ingest_batch(rows, options.landed, _batch_size(), options.batch, keys, options.span, options.partitions, index)
         landed = read_batch(spark, options.landed, options.batch)
     else:
         size, batches = _batch_size(), options.batches
-        outside = ingest_all(rows, options.landed, size, keys, batches, options.span, options.partitions)
+        outside = ingest_all(rows, options.landed, size, keys, batches, options.span, options.partitions, index)
         if outside:
             print(f"{outside} rows lie behind batch {batches} and are in none")
         landed = spark.read.parquet(options.landed)
@@ -137,6 +141,10 @@ def _to_database(tables: dict[str, DataFrame], options: argparse.Namespace) -> N
 def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
     options = _parser().parse_args(arguments)
     if options.command == "stage":
+        if options.rejects:
+            staged = stage_csv_with_rejects(read_csv_with_rejects(spark, options.source), options.staged)
+            print(f"{staged.row_count} rows in {options.staged}/rejected=false, {staged.reject_count} lines rejected")
+            return
         raw = read_csv(spark, options.source, schema=None) if options.infer_types else read_csv(spark, options.source)
         stage_csv(raw, options.staged)
     elif options.command in ("ingest", "ingest-all"):

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.operators.position import drop_position, empty_like, find_cuts
+from tallymill.operators.position import BlockIndex, drop_position, empty_like
 from tallymill.schema import BATCH_SPAN
 
 _COPIES_PER_TASK = 1 << 16
 
 
-def slice_rows(positioned: DataFrame, start: int, end: int) -> DataFrame:
-    """Rows ``start`` up to, not including, ``end`` in source order, clamped to the table."""
+def slice_rows(positioned: DataFrame, start: int, end: int, index: BlockIndex | None = None) -> DataFrame:
+    """Rows ``start`` up to, not including, ``end`` in source order, clamped to the table.
+
+    With an index no row of the table is read to find the two ends.
+    """
     if start < 0 or end < start:
         raise ValueError(f"not a row range: [{start}, {end})")
-    cuts = find_cuts(positioned, [start, end])
+    cuts = (index or BlockIndex.of(positioned)).cuts([start, end])
     first, past = cuts[start], cuts[end]
     if first is None or start == end:
         return drop_position(empty_like(positioned))
@@ -25,52 +28,49 @@ def slice_rows(positioned: DataFrame, start: int, end: int) -> DataFrame:
     return drop_position(rows)
 
 
-def limit_prefix(positioned: DataFrame, rows: int) -> DataFrame:
+def limit_prefix(positioned: DataFrame, rows: int, index: BlockIndex | None = None) -> DataFrame:
     """The first rows in source order."""
-    return slice_rows(positioned, 0, rows)
+    return slice_rows(positioned, 0, rows, index)
 
 
-def batch_slice(positioned: DataFrame, size: int, batch: int, span: int = BATCH_SPAN) -> DataFrame:
+def batch_slice(
+    positioned: DataFrame, size: int, batch: int, span: int = BATCH_SPAN, index: BlockIndex | None = None
+) -> DataFrame:
     """The rows of one batch: ``span`` steps of ``size`` rows, so that batches overlap unless span is 1."""
     _check_batching(size, span)
     if batch < 1:
         raise ValueError(f"batches count from 1, got {batch}")
     start = (batch - 1) * size
-    return slice_rows(positioned, start, start + span * size)
+    return slice_rows(positioned, start, start + span * size, index)
 
 
-def count_batches(positioned: DataFrame, size: int) -> int:
-    """As many batches as start inside the table, so that every row is in one."""
+def count_batches(rows: int, size: int) -> int:
+    """As many batches as start inside a table of so many rows, so that every row is in one."""
     _check_batching(size, 1)
-    return -(-positioned.count() // size)
+    return -(-rows // size)
 
 
-def rows_outside(positioned: DataFrame, size: int, batches: int, span: int = BATCH_SPAN) -> int:
-    """How many rows lie behind the last of so many batches."""
-    return max(0, positioned.count() - (batches + span - 1) * size)
+def rows_outside(rows: int, size: int, batches: int, span: int = BATCH_SPAN) -> int:
+    """How many of so many rows lie behind the last of so many batches."""
+    return max(0, rows - (batches + span - 1) * size)
 
 
-def with_segment(positioned: DataFrame, size: int, segments: int) -> DataFrame:
+def with_segment(positioned: DataFrame, size: int, segments: int, index: BlockIndex | None = None) -> DataFrame:
     """Number consecutive runs of ``size`` rows from 0; rows behind the last run are left out.
 
-    A batch is the union of its segments, so each row has to be stored once only.
+    A batch is the union of its segments, so each row has to be stored once only. The number is worked out from the rank of
+    the row, so the plan is the same for any number of segments.
     """
+    return with_segment_rank(positioned, size, segments, index).drop("_rank")
+
+
+def with_segment_rank(positioned: DataFrame, size: int, segments: int, index: BlockIndex | None = None) -> DataFrame:
+    """``with_segment``, and the rank of each row as ``_rank``."""
     if size < 1 or segments < 1:
         raise ValueError("size and number of segments must be positive")
-    cuts = find_cuts(positioned, [number * size for number in range(1, segments + 1)])
-    rows, segment = positioned, F.lit(0)
-    past = cuts[segments * size]
-    if past is not None:
-        rows = rows.filter(past.before())
-    starts = {number: cuts[number * size] for number in range(1, segments)}
-    reached = [(number, cut) for number, cut in starts.items() if cut is not None]
-    if reached:
-        branches = None
-        for number, cut in reversed(reached):
-            branch = (cut.at_or_after(), F.lit(number))
-            branches = F.when(*branch) if branches is None else branches.when(*branch)
-        segment = branches.otherwise(0)
-    return drop_position(rows.withColumn("segment", segment))
+    ranked = (index or BlockIndex.of(positioned)).with_rank(positioned)
+    inside = ranked.filter(F.col("_rank") < size * segments)
+    return drop_position(inside.withColumn("segment", F.expr(f"CAST(_rank div {size} AS INT)")))
 
 
 def batches_of(segment: Column, batches: int, span: int = BATCH_SPAN) -> Column:
@@ -81,18 +81,23 @@ def batches_of(segment: Column, batches: int, span: int = BATCH_SPAN) -> Column:
 
 
 def fan_out(
-    positioned: DataFrame, size: int, batches: int | None = None, span: int = BATCH_SPAN
+    positioned: DataFrame,
+    size: int,
+    batches: int | None = None,
+    span: int = BATCH_SPAN,
+    index: BlockIndex | None = None,
 ) -> DataFrame:
-    """All batches at once, told apart by the column ``batch``: one scan, no shuffle.
+    """All batches at once, told apart by the column ``batch``: one scan, no shuffle of rows.
 
     Without a number of batches there are as many as the table needs. With one, rows behind the last batch are
     in none; ``rows_outside`` counts them.
     """
     _check_batching(size, span)
-    batches = count_batches(positioned, size) if batches is None else batches
+    index = index or BlockIndex.of(positioned)
+    batches = count_batches(index.rows, size) if batches is None else batches
     if batches == 0:
         return drop_position(empty_like(positioned)).withColumn("batch", F.lit(0))
-    segmented = with_segment(positioned, size, batches + span - 1)
+    segmented = with_segment(positioned, size, batches + span - 1, index)
     return segmented.withColumn("batch", F.explode(batches_of(F.col("segment"), batches, span))).drop("segment")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallymill.schema import CONTRACT, CONTRACT_COLUMNS, CONTRACT_KEY, ColumnRule
@@ -61,17 +61,56 @@ def _checks(rule: ColumnRule) -> dict[str, Column]:
     return checks
 
 
+def _broken() -> dict[tuple[str, str], Column]:
+    return {(check, rule.name): when for rule in CONTRACT for check, when in _checks(rule).items()}
+
+
+def _counts() -> list[Column]:
+    return [F.count_if(when).alias(f"{check}_{name}") for (check, name), when in _broken().items()]
+
+
 def violations(df: DataFrame) -> DataFrame:
     """How many rows break each rule, counted for all rules in one pass."""
-    broken = {(check, rule.name): when for rule in CONTRACT for check, when in _checks(rule).items()}
-    counts = df.agg(*[F.count_if(when).alias(f"{check}_{name}") for (check, name), when in broken.items()])
     rows = [
         F.struct(
             F.lit(check).alias("rule"), F.lit(name).alias("column"), F.col(f"{check}_{name}").alias("violations")
         )
-        for check, name in broken
+        for check, name in _broken()
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return df.agg(*_counts()).select(F.inline(F.array(*rows)))
+
+
+class Watch:
+    """The rules on values, counted while the frame is written, so that it is not read for them again.
+
+    Write ``rows`` once and as they are, then ask.
+    """
+
+    def __init__(self, df: DataFrame):
+        self._seen = Observation()
+        self.rows = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *_counts())
+
+    def row_count(self) -> int:
+        return self._seen.get["rows"]
+
+    def violations(self) -> dict[tuple[str, str], int]:
+        """How many written rows break each rule of each column."""
+        return {(check, name): self._seen.get[f"{check}_{name}"] for check, name in _broken()}
+
+    def enforce(self) -> None:
+        """Raise if a written row breaks a rule."""
+        _refuse({key: rows for key, rows in self.violations().items() if rows})
+
+
+def _refuse(broken: dict[tuple[str, str], int]) -> None:
+    if broken:
+        raise ContractError("; ".join(f"{rows} rows break {rule} of {column}" for (rule, column), rows in broken.items()))
+
+
+def require_unique_keys(df: DataFrame, *within: str) -> None:
+    """Raise if a key repeats, or repeats among rows with the same values of the columns ``within``. Reads those columns."""
+    if not duplicate_keys(df, CONTRACT_KEY, *within).isEmpty():
+        raise ContractError(f"{CONTRACT_KEY} is not unique")
 
 
 def duplicate_keys(df: DataFrame, key: str = CONTRACT_KEY, *within: str) -> DataFrame:
@@ -80,14 +119,12 @@ def duplicate_keys(df: DataFrame, key: str = CONTRACT_KEY, *within: str) -> Data
 
 
 def enforce(df: DataFrame, *within: str) -> DataFrame:
-    """The frame itself if it keeps every rule; raises otherwise. Reads the frame twice.
+    """The frame itself if it keeps every rule; raises otherwise. Reads the frame twice; ``Watch`` spares one of them.
 
     Keys must be unique, or unique among rows with the same values of the further columns ``within``.
     """
     require_columns(df.drop(*within))
     broken = violations(df).filter(F.col("violations") > 0).collect()
-    if broken:
-        raise ContractError("; ".join(f"{row['violations']} rows break {row['rule']} of {row['column']}" for row in broken))
-    if not duplicate_keys(df, CONTRACT_KEY, *within).isEmpty():
-        raise ContractError(f"{CONTRACT_KEY} is not unique")
+    _refuse({(row["rule"], row["column"]): row["violations"] for row in broken})
+    require_unique_keys(df, *within)
     return df

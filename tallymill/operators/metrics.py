@@ -31,6 +31,13 @@ def summarize(clean: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def add_up(summaries: DataFrame, *by: str) -> DataFrame:
+    """One summary out of those of disjoint sets of rows."""
+    added = ("transactions", "frauds", "flagged", "true_positives", "fraud_amount", "fraud_amounts")
+    totals = [F.sum(name).alias(name) for name in added]
+    return summaries.groupBy(*by, "transType").agg(*totals, F.max("max_fraud_amount").alias("max_fraud_amount"))
+
+
 def fraud_by_type(summary: DataFrame, *by: str) -> DataFrame:
     """Transactions, frauds and fraud rate in percent of each transaction type."""
     return summary.select(

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from tallymill.operators.contract import TEXT_TYPES, conform
 from tallymill.schema import FLAGGED_FRAUD_ACCURACY, FRAUD_BY_TYPE, FRAUD_STATS, TRANSFORMED_DATA
-from tallymill.scratch import remove
+from tallymill.scratch import create_once, remove
 from tallymill.sources.files import batch_path, write_table
-from tallymill.sources.jdbc import CONNECTIONS, write_jdbc
+from tallymill.sources.jdbc import CONNECTIONS, Load, publish
 
 SERVED_TABLES = (TRANSFORMED_DATA, FRAUD_BY_TYPE, FRAUD_STATS, FLAGGED_FRAUD_ACCURACY)
 _LOG = "published"
+_CLAIMS = "_claims"
 
 
 class Snapshot:
@@ -49,28 +50,24 @@ class Snapshot:
     def announce(self, batches: Iterable[int]) -> str:
         """Make the tables visible: one small file, which is there as a whole or not at all.
 
-        Its version is one above the newest in the log, so the order is that of announcement and no clock counts. A
-        version that is taken meanwhile is not used again; if two runs write the same one at the same moment, both entries
-        stand and the snapshot's name decides.
+        Its version is one above the newest in the log, so the order is that of announcement and no clock counts. A run
+        first takes a version by creating its claim, which the file system grants once; a version whose run dies
+        before its entry is written stays without one.
         """
         entries = [(self.name, batch) for batch in batches]
         log = self.spark.createDataFrame(entries, "snapshot string, batch int").coalesce(1)
         version = _last_version(self.spark, self.root) + 1
-        while True:
-            try:
-                log.write.mode("errorifexists").parquet(f"{self.root}/{_LOG}/version={version}")
-                return self.name
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_ALREADY_EXISTS":
-                    raise
-                version += 1
+        while not create_once(self.spark, f"{self.root}/{_LOG}/{_CLAIMS}/{version}"):
+            version += 1
+        log.write.mode("errorifexists").parquet(f"{self.root}/{_LOG}/version={version}")
+        return self.name
 
 
 def _last_version(spark: SparkSession, root: str) -> int:
     try:
         log = spark.read.parquet(f"{root}/{_LOG}")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return 0
     return log.agg(F.max("version")).first()[0]
@@ -128,14 +125,22 @@ def publish_jdbc(
     declared_types: bool = False,
     connections: int = CONNECTIONS,
 ) -> None:
-    """Replace the database tables, the large one first: a failed load then leaves the metrics as they were.
+    """Replace the database tables: all are loaded first and then take their places together.
 
-    The transactions are sent over up to ``connections`` connections at a time. With ``declared_types`` the transactions are stored in the types of the contract, not in those of the frame.
+    A load that fails leaves all of them as they were. The transactions are sent over up to ``connections`` connections at a
+    time. With ``declared_types`` they are stored in the types of the contract, not in those of the frame.
     """
-    for name in SERVED_TABLES:
-        if name != TRANSFORMED_DATA:
-            write_jdbc(tables[name].coalesce(1), url, name, properties, truncate)
-        elif declared_types:
-            write_jdbc(conform(tables[name]), url, name, properties, truncate, connections, column_types=TEXT_TYPES)
-        else:
-            write_jdbc(tables[name], url, name, properties, truncate, connections)
+    loads: list[Load] = []
+    try:
+        for name in SERVED_TABLES:
+            if name != TRANSFORMED_DATA:
+                loads.append(Load(tables[name].coalesce(1), url, name, properties, truncate, 1))
+            elif declared_types:
+                loads.append(Load(conform(tables[name]), url, name, properties, truncate, connections, column_types=TEXT_TYPES))
+            else:
+                loads.append(Load(tables[name], url, name, properties, truncate, connections))
+    except BaseException:
+        for load in loads:
+            load.abandon()
+        raise
+    publish(loads)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.tokens import TokenKeys, decrypt_columns
 from tallymill.operators import contract, metrics
+from tallymill.operators.batching import batches_of
 from tallymill.operators.cleaning import clean, label_and_name
 from tallymill.plans.publish import Snapshot
 from tallymill.schema import (
@@ -19,6 +20,7 @@ from tallymill.schema import (
 )
 from tallymill.scratch import remove, scratch_path
 from tallymill.sources.files import read_batch, write_table
+from tallymill.sources.layout import Layout
 
 
 def metric_tables(transformed: DataFrame, path: str, *by: str) -> dict[str, DataFrame]:
@@ -36,16 +38,18 @@ def metric_tables(transformed: DataFrame, path: str, *by: str) -> dict[str, Data
 def transform_batch(
     spark: SparkSession, landed: str, batch: int, keys: TokenKeys, served: str, strict: bool = False
 ) -> str:
-    """Clean one landed batch and publish its tables; ``strict`` also enforces the rules on values.
+    """Clean one landed batch and publish its tables; ``strict`` also enforces the rules on values, counted during the write.
 
     Cleaning shuffles the batch, so its result is written once and the metrics read a few columns of it.
     Nothing becomes visible before all checks have passed.
     """
     cleaned = contract.require_columns(clean(read_batch(spark, landed, batch), keys))
     snapshot = Snapshot(spark, served)
-    transformed = snapshot.write(TRANSFORMED_DATA, cleaned, batch)
-    if strict:
-        contract.enforce(transformed)
+    watch = contract.Watch(cleaned) if strict else None
+    transformed = snapshot.write(TRANSFORMED_DATA, watch.rows if watch else cleaned, batch)
+    if watch:
+        watch.enforce()
+        contract.require_unique_keys(transformed)
     summary = scratch_path(spark, "summary")
     for name, table in metric_tables(transformed, summary).items():
         snapshot.write(name, table, batch)
@@ -80,6 +84,17 @@ def drop_duplicates_by_batch(segmented: DataFrame, batches: int, span: int = BAT
 _WORD = 62
 
 
+def _laid_out(cleaned: DataFrame, counts: DataFrame, batches: int, span: int) -> DataFrame:
+    """Rows where their files are written, if the tasks that hold them now would write very many.
+
+    The rows of a batch are at most those of its segments, which the landed files tell by themselves.
+    """
+    of_batch = counts.withColumn("batch", F.explode(batches_of(F.col("segment"), batches, span)))
+    layout = Layout(of_batch.groupBy("batch").agg(F.sum("rows").alias("rows")))
+    tasks = int(cleaned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return layout.apply(cleaned) if layout.wanted(tasks) else cleaned
+
+
 def _for_every_batch(table: DataFrame, batches: int) -> DataFrame:
     """Add a row of nulls for a batch without rows."""
     numbers = table.sparkSession.range(1, batches + 1, numPartitions=1).select(F.col("id").cast("int").alias("batch"))
@@ -101,15 +116,19 @@ def transform_all(
     number here. ``strict`` also enforces the rules on values, and unique keys within each batch.
     """
     landed_rows = spark.read.parquet(landed)
+    counts = landed_rows.groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
     if batches is None:
-        batches = 1 + (landed_rows.agg(F.max("segment")).first()[0] or 0)
+        batches = 1 + (counts.agg(F.max("segment")).first()[0] or 0)
     segments = decrypt_columns(landed_rows, PROTECTED_COLUMNS, keys)
     cleaned = label_and_name(drop_duplicates_by_batch(segments, batches, span))
     contract.require_columns(cleaned.drop("batch"))
+    cleaned = _laid_out(cleaned, counts, batches, span)
     snapshot = Snapshot(spark, served)
-    transformed = snapshot.write(TRANSFORMED_DATA, cleaned)
-    if strict:
-        contract.enforce(transformed, "batch")
+    watch = contract.Watch(cleaned) if strict else None
+    transformed = snapshot.write(TRANSFORMED_DATA, watch.rows if watch else cleaned)
+    if watch:
+        watch.enforce()
+        contract.require_unique_keys(transformed, "batch")
     summary = scratch_path(spark, "summary")
     tables = metric_tables(transformed, summary, "batch")
     snapshot.write(FRAUD_BY_TYPE, tables[FRAUD_BY_TYPE])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymill.operators.position import POSITION, BlockIndex
 from tallymill.schema import CSV_SCHEMA
 
 # Six digits, so that a written file gives back the microseconds it was given.
@@ -25,10 +28,33 @@ def read_csv(
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    return reader.option("enforceSchema", False).option("mode", mode).schema(_as_in_header(reader, path, schema)).csv(path)
+
+
+def _as_in_header(reader: DataFrameReader, path: str, schema: T.StructType) -> T.StructType:
     types = {field.name: field.dataType for field in schema}
-    header = reader.csv(path).columns
-    typed = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
-    return reader.option("enforceSchema", False).option("mode", mode).schema(typed).csv(path)
+    return T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in reader.csv(path).columns])
+
+
+#: The text of a line that does not fit the schema; null in all others.
+REJECTED_LINE = "_rejected_line"
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType = CSV_SCHEMA) -> DataFrame:
+    """``read_csv``, but a line with a malformed value, or too many or few of them, is kept as text in ``REJECTED_LINE``.
+
+    Whether a line fits is only known from all its columns: write the frame as it is, as ``stage_csv_with_rejects`` does, and
+    choose columns afterwards.
+    """
+    reader = spark.read.option("header", True)
+    typed = _as_in_header(reader, path, schema).add(REJECTED_LINE, T.StringType())
+    return (
+        reader.option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED_LINE)
+        .schema(typed)
+        .csv(path)
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -38,7 +64,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 def stage_csv(csv: DataFrame, path: str) -> DataFrame:
     """Land CSV rows as Parquet with their positions, so that all later steps read columns and skip files.
 
-    One pass without a shuffle. The order is that of the text: by file, block and line.
+    One pass without a shuffle. The order is that of the text: by file, block and line. The index of the blocks is kept inside
+    the folder; ``BlockIndex.load`` reads it.
     """
     (
         csv.select(
@@ -50,7 +77,52 @@ def stage_csv(csv: DataFrame, path: str) -> DataFrame:
         .write.mode("overwrite")
         .parquet(path)
     )
-    return csv.sparkSession.read.parquet(path)
+    staged = csv.sparkSession.read.parquet(path)
+    BlockIndex.stage(staged, path)
+    return staged
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A staged CSV source: its rows with their positions, the lines that were rejected, and how many there are of each."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    row_count: int
+    reject_count: int
+
+
+def stage_csv_with_rejects(csv: DataFrame, path: str) -> Staged:
+    """``stage_csv`` for the lines that fit the schema, and the others beside them, in one pass over the text.
+
+    ``rejects`` has ``line, _file, _block, _row``. Each task writes its rows ahead of its rejects, so that the numbers of the rows
+    within a block have no gaps, and counts both while it writes.
+    """
+    seen = Observation()
+    rejected = F.col(REJECTED_LINE).isNotNull()
+    parsed = csv.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    ).withColumn("rejected", rejected)
+    numbered = parsed.sortWithinPartitions("rejected", "_line").withColumn("_row", F.monotonically_increasing_id())
+    counted = numbered.drop("_line").observe(
+        seen, F.count_if(F.col("rejected")).alias("rejects"), F.count_if(~F.col("rejected")).alias("rows")
+    )
+    write_table(counted, path, "rejected")
+    spark = csv.sparkSession
+    stored = counted.drop("rejected").schema
+    good, bad = (f"{path}/rejected={value}" for value in ("false", "true"))
+    rows = _read_if_there(spark, good, stored, seen.get["rows"]).drop(REJECTED_LINE)
+    if seen.get["rows"]:
+        BlockIndex.stage(rows, good)
+    rejects = _read_if_there(spark, bad, stored, seen.get["rejects"]).select(F.col(REJECTED_LINE).alias("line"), *POSITION)
+    return Staged(rows, rejects, seen.get["rows"], seen.get["rejects"])
+
+
+def _read_if_there(spark: SparkSession, path: str, schema: T.StructType, rows: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if rows else spark.createDataFrame([], schema)
 
 
 def write_table(df: DataFrame, path: str, *partition_by: str, success_marker: bool = True) -> None:
