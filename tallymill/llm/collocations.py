@@ -4,16 +4,19 @@ A shard holds the words of some texts of one language. Step by step, for phrases
 shard extends the phrases that the whole corpus has often enough, through the ranges of its bidirectional index: to the
 right from the phrase without its last word, to the left from the phrase without its first word. What both give is counted
 there, the counts are summed across shards, and the phrases that remain come back to the shards that hold them. So a
-phrase leaves a shard as two numbers, those of its two parts, and only if both parts are frequent.
+phrase leaves a shard as two numbers, those of its two parts, and only if both parts are frequent. The phrases of a shard travel
+as packed arrays, dealt to buckets by a hash; the number of buckets grows with the corpus.
 """
 
 from __future__ import annotations
 
 import re
 import string
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -27,6 +30,9 @@ from tallymill.scratch import remove
 #: Bytes of text that a task holds before it closes its largest shard. It bounds memory, not what is counted.
 SHARD_BYTES = 16 << 20
 
+#: Bytes of text for each bucket that counts are summed in; phrases are dealt evenly, so this bounds a bucket.
+BUCKET_BYTES = 16 << 20
+
 #: Characters that end a piece; words are what blanks and tabs part within one.
 PIECE_ENDS = r".,;:!?\x0A-\x0D"
 
@@ -57,27 +63,75 @@ class _Shard:
         self.ids.append(np.fromiter(map(self.numbers.__getitem__, _PARTS.findall(lowered.decode())), np.uint32))
         self.ids.append(np.zeros(1, np.uint32))
 
-    def rows(self, number: int, lang: str) -> Iterator[pa.RecordBatch]:
-        """The ids, and each word with its first place and its count."""
+    def rows(self, number: int, lang: str, buckets: int) -> Iterator[pa.RecordBatch]:
+        """The ids, and for each bucket its words with their first places and counts."""
         ids = np.concatenate(self.ids)
         words = [*self.numbers][len(self.numbers.ends) :]
         if not words:
             return
-        yield _batch(_SHARDS, shard=[number], lang=[lang], ids=[_packed(ids)])
-        first = np.zeros(1 + len(words), np.int32)
-        first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1, dtype=np.int32)
+        yield _batch(_SHARD, shard=[number], lang=[lang], ids=[_packed(ids)], n=[np.count_nonzero(ids)])
+        first = np.zeros(1 + len(words), np.int64)
+        first[ids[::-1]] = np.arange(len(ids) - 1, -1, -1)
         counts = np.bincount(ids, minlength=1 + len(words))
-        for i in range(0, len(words), 1 << 16):
-            part = words[i : i + (1 << 16)]
-            at = slice(1 + i, 1 + i + len(part))
-            yield _batch(_SHARDS, shard=np.full(len(part), number), lang=[lang] * len(part), place=first[at], word=part, n=counts[at])
-
-
-_SHARDS = pa.schema(
-    [("shard", pa.int64()), ("lang", pa.string()), ("ids", pa.binary()), ("place", pa.int32()), ("word", pa.string()), ("n", pa.int64())]
+        bucket = np.fromiter((zlib.crc32(word.encode()) for word in words), np.int64, len(words)) % buckets
+        words = np.array(words, object)
+        for number_of_bucket, at in _by_bucket(bucket, first[1:]):
+            yield _batch(
+                _SHARD,
+                shard=[number],
+                lang=[lang],
+                bucket=[number_of_bucket],
+                places=[_packed(first[1:][at], ascending=True)],
+                words=[_compressed("\n".join(words[at]).encode())],
+                counts=[_packed(counts[1:][at])],
+            )
+
+
+def _by_bucket(bucket: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with what it holds, in order of places."""
+    order = np.lexsort((places, bucket))
+    ends = np.flatnonzero(np.diff(bucket[order], append=-1)) + 1
+    start = 0
+    for end in ends.tolist():
+        yield int(bucket[order[start]]), order[start:end]
+        start = end
+
+
+_SHARD = pa.schema(
+    [
+        ("shard", pa.int64()),
+        ("lang", pa.string()),
+        ("ids", pa.binary()),
+        ("n", pa.int64()),
+        ("bucket", pa.int32()),
+        ("places", pa.binary()),
+        ("words", pa.binary()),
+        ("counts", pa.binary()),
+    ]
+)
+_CANDIDATES = pa.schema(
+    [
+        ("shard", pa.int64()),
+        ("bucket", pa.int32()),
+        ("places", pa.binary()),
+        ("heads", pa.binary()),
+        ("tails", pa.binary()),
+        ("counts", pa.binary()),
+    ]
 )
-_STEP = pa.schema(
-    [("shard", pa.int64()), ("ids", pa.binary()), ("place", pa.int32()), ("head", pa.int64()), ("tail", pa.int64()), ("n", pa.int64())]
+_FREQUENT = pa.schema(
+    [
+        ("of", pa.int64()),
+        ("length", pa.int32()),
+        ("places", pa.binary()),
+        ("ids", pa.binary()),
+        ("id", pa.int64()),
+        ("head", pa.int64()),
+        ("tail", pa.int64()),
+        ("lang", pa.string()),
+        ("phrase", pa.string()),
+        ("f", pa.int64()),
+    ]
 )
 _KINDS = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
 
@@ -92,16 +146,28 @@ def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(ids.astype(np.uint32).tobytes())
+def _compressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint32)
+def _packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers from 0, as steps if they ascend: the first bytes of all, then the second ones and so on, compressed."""
+    values = np.diff(values, prepend=0) if ascending else values
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + _compressed(np.ascontiguousarray(planes.T).tobytes())
 
 
-def _shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Rows of two kinds: a shard (``ids``) and its distinct words (``word``)."""
+def _unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    values = np.zeros((planes.shape[1], 8), np.uint8)
+    values[:, : data[0]] = planes.T
+    values = values.reshape(-1).view("<i8")
+    return np.cumsum(values) if ascending else values
+
+
+def _shards(rows: DataFrame, shard_bytes: int, buckets: int) -> DataFrame:
+    """Rows of two kinds: a shard (``ids``) and its distinct words in a bucket (``words``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -119,49 +185,128 @@ def _shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
                     if held >= shard_bytes:
                         largest = max(open_shards, key=lambda name: open_shards[name].bytes)
                         shard = open_shards.pop(largest)
-                        yield from shard.rows(number, largest)
+                        yield from shard.rows(number, largest, buckets)
                         held, number = held - shard.bytes, number + 1
         for lang, shard in open_shards.items():
-            yield from shard.rows(number, lang)
+            yield from shard.rows(number, lang, buckets)
             number += 1
 
-    return rows.mapInArrow(run, _ddl(_SHARDS))
+    return rows.mapInArrow(run, _ddl(_SHARD))
 
 
-def _extended(length: int, last: bool):
-    """A function from a shard and the ids of its frequent phrases, one word short of ``length``, to its next candidates."""
+def _answers(rows: pa.Table, length: int, key_of: np.ndarray, sums: np.ndarray, least: int, buckets: int) -> tuple[list, np.ndarray]:
+    """What goes back to each shard: the places and ids of its frequent phrases. And the ids of the keys, -1 where rare.
 
-    def run(shard: pa.Table, known: pa.Table) -> pa.Table:
-        if not shard.num_rows or not known.num_rows:
-            return _STEP.empty_table()
-        number = shard["shard"][0].as_py()
+    ``key_of`` holds the key of each phrase of each row, row after row, ``sums`` the counts of the keys.
+    """
+    ids = np.full(len(sums), -1)
+    frequent = sums >= least
+    ids[frequent] = np.arange(np.count_nonzero(frequent)) * buckets + rows["bucket"][0].as_py()
+    found, start = [], 0
+    for shard, places in zip(rows["shard"].to_pylist(), rows["places"].to_pylist(), strict=True):
+        places = _unpacked(places, ascending=True)
+        own = ids[key_of[start : start + len(places)]]
+        start += len(places)
+        kept = own >= 0
+        if kept.any():
+            packed = {"places": [_packed(places[kept], ascending=True)], "ids": [_packed(own[kept])]}
+            found.append(_batch(_FREQUENT, of=[shard], length=[length], **packed))
+    return found, ids
+
+
+def _frequent_words(least: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        lists = [zstandard.ZstdDecompressor().decompress(data).decode().split("\n") for data in rows["words"].to_pylist()]
+        langs = rows["lang"].to_pylist()
+        words = pd.DataFrame({"lang": np.repeat(langs, [*map(len, lists)]), "word": [word for words in lists for word in words]})
+        words["n"] = np.concatenate([_unpacked(data) for data in rows["counts"].to_pylist()])
+        by_key = words.groupby(["lang", "word"], sort=False)
+        key_of, sums = by_key.ngroup().to_numpy(), by_key["n"].sum()
+        found, ids = _answers(rows, 1, key_of, sums.to_numpy(), least, buckets)
+        named = sums.reset_index()[ids >= 0]
+        columns = {"id": ids[ids >= 0], "lang": named["lang"], "phrase": named["word"], "f": named["n"]}
+        return pa.Table.from_batches([*found, _batch(_FREQUENT, **columns)])
+
+    return run
+
+
+def _frequent_phrases(length: int, least: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    def run(rows: pa.Table) -> pa.Table:
+        heads, tails, counts = (
+            np.concatenate([_unpacked(data) for data in rows[name].to_pylist()]) for name in ("heads", "tails", "counts")
+        )
+        order = np.lexsort((tails, heads))
+        heads, tails = heads[order], tails[order]
+        new = (np.diff(heads, prepend=-1) != 0) | (np.diff(tails, prepend=-1) != 0)
+        first = np.flatnonzero(new)
+        key_of = np.empty(len(order), np.int64)
+        key_of[order] = np.cumsum(new) - 1
+        sums = np.add.reduceat(counts[order], first)
+        found, ids = _answers(rows, length, key_of, sums, least, buckets)
+        kept = ids >= 0
+        columns = {"id": ids[kept], "head": heads[first][kept], "tail": tails[first][kept], "f": sums[kept]}
+        return pa.Table.from_batches([*found, _batch(_FREQUENT, **columns)])
+
+    return run
+
+
+def _labels(ids: np.ndarray, known: dict[int, np.ndarray], length: int) -> np.ndarray:
+    """For each place of a shard the frequent phrase of ``length`` words that begins there, by its number, or -1.
+
+    ``known`` holds a place of each frequent phrase of each length up to this one. A phrase is known by the numbers of its two
+    parts, which overlap in all but a word at either end.
+    """
+    numbers = np.full(1 + ids.max(), -1)
+    numbers[ids[known[1]]] = np.arange(len(known[1]))
+    label = numbers[ids]
+    for size in range(2, length + 1):
+        places, base = known[size], 1 + len(known[size - 1])
+        pair = np.where((label[:-1] >= 0) & (label[1:] >= 0), label[:-1] * base + label[1:], -1)
+        wanted = pair[places]
+        order = np.argsort(wanted)
+        at = np.minimum(np.searchsorted(wanted, pair, sorter=order), len(wanted) - 1)
+        label = np.append(np.where(wanted[order[at]] == pair, order[at], -1), -1)
+    return label
+
+
+def _candidates(length: int, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """From a shard and its frequent phrases of fewer words to its candidates of ``length`` words."""
+
+    def run(shard: pa.Table, answers: pa.Table) -> pa.Table:
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for size, *packed in zip(*(answers[name].to_pylist() for name in ("length", "places", "ids")), strict=True):
+            parts.setdefault(size, []).append((_unpacked(packed[0], ascending=True), _unpacked(packed[1])))
+        if not shard.num_rows or length - 1 not in parts:
+            return _CANDIDATES.empty_table()
+        known = {size: np.concatenate([places for places, _ in found]) for size, found in parts.items()}
+        names = np.concatenate([ids for _, ids in parts[length - 1]])
         ids = _unpacked(shard["ids"][0].as_py())
-        places, names = known["place"].to_numpy(), known["id"].to_numpy()
-        if length == 2:
-            frequent = np.zeros(1 + ids.max(), bool)
-            frequent[ids[places]] = True
-            ids = np.where(frequent[ids], ids, 0)
-        index = PhraseIndex(ids, length)
-        ranges = index.find(places, length - 1)
+        inside = np.zeros(len(ids), bool)
+        begins = np.flatnonzero(_labels(ids, known, length - 1) >= 0)
+        for k in range(length - 1):
+            inside[begins + k] = True
+        index = PhraseIndex(np.where(inside, ids, 0), length)
+        ranges = index.find(known[length - 1], length - 1)
         right, left = index.extend_right(ranges), index.extend_left(ranges)
         _, i, j = np.intersect1d(right.ranges.forward, left.ranges.forward, assume_unique=True, return_indices=True)
         found = right.ranges.pick(i)
-        columns = {
-            "shard": np.full(len(i), number),
-            "place": index.place(found).astype(np.int32),
-            "head": names[right.parent[i]],
-            "tail": names[left.parent[j]],
-            "n": found.size,
-        }
-        candidates = _batch(_STEP, **columns)
-        if last or not len(i):
-            return pa.Table.from_batches([candidates])
-        begins = index.occurrences(found)
-        inside = np.zeros(len(ids), bool)
-        for k in range(length):
-            inside[begins + k] = True
-        rest = _batch(_STEP, shard=[number], ids=[_packed(np.where(inside, ids, 0))])
-        return pa.Table.from_batches([rest, candidates])
+        places, heads, tails = index.place(found), names[right.parent[i]], names[left.parent[j]]
+        mixed = heads.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ tails.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        number = shard["shard"][0].as_py()
+        rows = [
+            _batch(
+                _CANDIDATES,
+                shard=[number],
+                bucket=[of],
+                places=[_packed(places[at], ascending=True)],
+                heads=[_packed(heads[at])],
+                tails=[_packed(tails[at])],
+                counts=[_packed(found.size[at])],
+            )
+            for of, at in _by_bucket(bucket, places)
+        ]
+        return pa.Table.from_batches(rows, _CANDIDATES)
 
     return run
 
@@ -202,38 +347,29 @@ def collocations(
     spark = docs.sparkSession
     kept: list[str] = []
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
-    shards = saved(_shards(docs.select(language.alias("lang"), whole_text(text).alias("text")), shard_bytes), "shards", kept)
-    words = shards.filter("word IS NOT NULL")
-    totals = saved(words.groupBy("lang").agg(F.sum("n").alias("n")), "words", kept)
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    phrases = saved(
-        counted.select(
-            F.monotonically_increasing_id().alias("id"),
-            F.lit(None).cast("bigint").alias("head"),
-            F.lit(None).cast("bigint").alias("tail"),
-            "lang",
-            F.col("word").alias("phrase"),
-            F.col("word").alias("last"),
-            "f",
-            F.array("f").alias("heads"),
-            F.array("f").alias("tails"),
-        ),
-        "phrases-1",
-        kept,
-    )
-    known = words.select("shard", "place", "lang", F.col("word").alias("phrase")).join(phrases.select("lang", "phrase", "id"), ["lang", "phrase"])
-    known = known.select(F.col("shard").alias("of"), "place", "id")
-    shards = shards.filter("ids IS NOT NULL").select("shard", "ids")
+    rows = docs.select(language.alias("lang"), whole_text(text).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    shards = saved(_shards(rows, shard_bytes, buckets), "shards", kept)
+    words = shards.filter("words IS NOT NULL").select("bucket", "shard", "lang", "places", "words", "counts")
+    shards = shards.filter("ids IS NOT NULL").select("shard", "lang", "ids", "n")
+    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
+    frequent = saved(words.groupBy("bucket").applyInArrow(_frequent_words(least, buckets), _ddl(_FREQUENT)), "frequent-1", kept)
+    found = frequent.filter("id IS NOT NULL")
+    counts = F.array("f").alias("heads"), F.array("f").alias("tails")
+    nothing = F.lit(None).cast("bigint")
+    phrases = found.select("id", nothing.alias("head"), nothing.alias("tail"), "lang", "phrase", F.col("phrase").alias("last"), "f", *counts)
+    answers = frequent.filter("of IS NOT NULL").select("of", "length", "places", "ids")
     results = []
     for length in range(2, longest + 1):
-        step = shards.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(_extended(length, length == longest), _ddl(_STEP))
-        step = saved(step, f"step-{length}", kept)
-        candidates = step.filter("place IS NOT NULL")
-        shorter, phrases = phrases, _named(_frequent(candidates, least, length, kept), phrases, length, kept)
+        step = shards.select("shard", "ids").groupBy("shard").cogroup(answers.groupBy("of"))
+        candidates = saved(step.applyInArrow(_candidates(length, buckets), _ddl(_CANDIDATES)), f"candidates-{length}", kept)
+        summed = candidates.groupBy("bucket").applyInArrow(_frequent_phrases(length, least, buckets), _ddl(_FREQUENT))
+        frequent = saved(summed, f"frequent-{length}", kept)
+        shorter, phrases = phrases, _named(frequent.filter("id IS NOT NULL").select("id", "head", "tail", "f"), phrases, length, kept)
         if length > 2:
             results.append(_not_inside(shorter, phrases, length - 1))
-        known = candidates.join(phrases.select("head", "tail", "id"), ["head", "tail"]).select(F.col("shard").alias("of"), "place", "id")
-        shards = step.filter("ids IS NOT NULL").select("shard", "ids")
+        answers = answers.unionByName(frequent.filter("of IS NOT NULL").select("of", "length", "places", "ids"))
     results.append(phrases.withColumn("words", F.lit(longest)))
     found = results[0]
     for more in results[1:]:
@@ -250,12 +386,6 @@ def collocations(
     return result
 
 
-def _frequent(candidates: DataFrame, least: int, length: int, kept: list[str]) -> DataFrame:
-    """Candidates that the corpus has often enough, numbered."""
-    counted = candidates.groupBy("head", "tail").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    return saved(counted.withColumn("id", F.monotonically_increasing_id()), f"frequent-{length}", kept)
-
-
 def _named(frequent: DataFrame, shorter: DataFrame, length: int, kept: list[str]) -> DataFrame:
     """Phrases in words, with the counts of all that they begin and end with, shortest first."""
     heads = shorter.select(F.col("id").alias("head"), "lang", F.col("phrase").alias("begin"), F.col("heads").alias("begins"))

@@ -63,10 +63,6 @@ class PhraseIndex:
         """A place where each phrase begins."""
         return self.places[self._rows[ranges.forward]]
 
-    def occurrences(self, ranges: Ranges) -> np.ndarray:
-        """All places where some phrase of the ranges begins."""
-        return self.places[self._rows[_spread(ranges.forward, ranges.size)[1]]]
-
     def extend_right(self, ranges: Ranges) -> Extended:
         """Every phrase of one word more at its end, with its count as the size of its ranges."""
         parent, word, size, backward, smaller = self.behind.extend(ranges.backward, ranges.size)
