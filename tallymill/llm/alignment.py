@@ -101,8 +101,8 @@ class _Block:
         self.bytes = 0
 
     def learn(self, words: list[str]) -> None:
-        """Align words that are not known yet. A word is joined with others if no white space or mark of it is inside."""
-        plain = [w for w in words if w and _SPACE not in w and not any(map(str.isspace, w))]
+        """Align words that are not known yet, joined by spaces where those part tokens: no white space lies beside them."""
+        plain = [w for w in words if w and _SPACE not in w and not w[0].isspace() and not w[-1].isspace()]
         odd = set(words).difference(plain)
         start = 0
         while start < len(plain):
