@@ -11,6 +11,7 @@ follow from left to right, without encoding any prefix again.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import string
@@ -34,6 +35,10 @@ _MARKS = string.punctuation.replace("'", "")
 #: Below this code point, letters and digits are the same in all versions of Unicode that libraries use.
 SETTLED = "\u0250"
 
+# What the pattern of byte-level vocabularies takes for white space, and its contractions.
+_SPACES = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_CONTRACTIONS = frozenset(["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"])
+
 
 def chunks(text: str, kept: Kept) -> list[bytes]:
     """``kept[c]`` for the first chunk and ``kept[" " + c]`` for each further one, in order.
@@ -187,20 +192,13 @@ class PrefixCounter:
     def pieces(self, text: str) -> list[tuple[str, int, int]]:
         return [(s, a, b) for s, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def count(self, text: str) -> int:
-        """Tokens of a short text, piece by piece."""
-        parts = self.added.split(text) if self.added else [text]
-        return sum(
-            1 if i % 2 else sum(self.piece(s)[-1] for s, _, _ in self.pieces(part)) for i, part in enumerate(parts) if part
-        )
-
     def deltas(self, chunk: str) -> bytes:
         """For each character, by how much the count of the prefix that it ends differs from the one before."""
         inner = chunk[1:] if chunk[:1] == " " else chunk
         if inner.isalpha() and max(inner) < SETTLED:
             pieces = [("".join(map(self.symbols.__getitem__, chunk.encode())), 0, len(chunk))]
         elif "'" in chunk or len(inner.split()) != 1 or len(inner) != len(inner.strip()) or self.added and self.added.search(chunk):
-            # The cut into pieces depends on what follows: count prefix by prefix.
+            # The cut into pieces depends on what follows.
             return _changes(self._prefixes(chunk))
         else:
             pieces = self.pieces(chunk)
@@ -218,21 +216,62 @@ class PrefixCounter:
         return _changes(counts)
 
     def _prefixes(self, chunk: str) -> list[int]:
-        """Whole counts up to a place behind which pieces no longer change, then prefix by prefix from there."""
-        counts, done, base = [], 0, 0
-        for i in range(1, len(chunk) + 1):
-            if i - done > 64 and (cut := self._settled(chunk, done, i)):
-                base += self.count(chunk[done:cut])
-                done = cut
-            counts.append(base + self.count(chunk[done:i]))
+        """Counts of all prefixes of any text, in time linear in its length.
+
+        An added token counts once it is whole, and what follows it starts anew; until then its characters are ordinary ones.
+        """
+        counts, start, base = [], 0, 0
+        for match in self.added.finditer(chunk) if self.added else ():
+            plain = [base, *(base + n for n in self._plain(chunk[start : match.end() - 1]))]
+            base = plain[match.start() - start] + 1
+            counts += [*plain[1:], base]
+            start = match.end()
+        return counts + [base + n for n in self._plain(chunk[start:])]
+
+    def _plain(self, text: str) -> list[int]:
+        """Counts of all prefixes of a text without added tokens.
+
+        All pieces of a prefix but the last are pieces of the text, with two exceptions. White space at the end of a prefix is one
+        piece, whereas in the text the last character of a run of it goes with what follows. And a contraction that is cut
+        falls into its apostrophe and a letter.
+        """
+        counts, base, at, pieces = [], 0, 0, iter(self.pieces(text))
+        _, begin, end = piece = next(pieces, ("", 0, 0))
+        while at < len(text):
+            if text[at] in _SPACES:
+                past = at + 1
+                while past < len(text) and text[past] in _SPACES:
+                    past += 1
+                run = text[at:past]
+                table = self._by_character(self._spelled(run), run)
+                counts += [base + n for n in table[1:]]
+                base += table[-2]
+                if run[-1] != " ":
+                    base += self.piece(self._spelled(run[-1]))[-1]
+                at = past
+                continue
+            while end <= at:
+                _, begin, end = piece = next(pieces)
+            whole = text[begin:end]
+            table = self._by_character(piece[0], whole)
+            if whole in _CONTRACTIONS:
+                table[1] = self.piece("'")[-1]
+                if len(whole) > 2:
+                    table[2] = table[1] + self.piece(whole[1])[-1]
+            counts += [base + n for n in table[1 + at - begin :]]
+            base += table[-1]
+            at = end
         return counts
 
-    def _settled(self, chunk: str, start: int, stop: int) -> int:
-        """A place in the latter half of the part between an ASCII letter and an ASCII letter after one space, or 0."""
-        for i in range(stop - 32, start, -1):
-            if chunk[i] == "\n" and chunk[i - 1 : i].isascii() and chunk[i - 1 : i].isalpha() and chunk[i + 1 : i + 2].isascii() and chunk[i + 1 : i + 2].isalpha():
-                return i
-        return 0
+    def _spelled(self, text: str) -> str:
+        return "".join(map(self.symbols.__getitem__, text.encode()))
+
+    def _by_character(self, symbols: str, text: str) -> list[int]:
+        """``piece`` at the ends of characters only."""
+        table = self.piece(symbols)
+        if len(symbols) == len(text):
+            return table
+        return [table[n] for n in itertools.accumulate((len(c.encode()) for c in text), initial=0)]
 
     def prefix_changes(self, text: str) -> np.ndarray:
         """``cumsum`` of this is the token count of every non-empty prefix, character by character."""

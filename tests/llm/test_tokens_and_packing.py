@@ -1,6 +1,8 @@
 import zlib
 from collections import defaultdict
 
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -54,6 +56,38 @@ def test_random_texts():
         assert np.frombuffer(packing.token_ids(text, PATH, RANKS), "<u4").tolist() == ids(text), text
 
 
+ODD_PARTS = [" ", "  ", "\n", "\t", "\xa0", "\u3000", "\x85", "\x1c", "\u200b", "a", "don't", "'", "'re", "'ll", "'l", "s", "7", "!", "é", "日本"]
+ODD_PARTS += ["<|endoftext|>", "<|endo", "|>", "\r\n", "\u0301", "👩"]
+
+
+def test_prefixes_of_texts_with_any_white_space_apostrophes_and_added_tokens():
+    rng = np.random.default_rng(4)
+    for _ in range(1500):
+        text = "".join(rng.choice(ODD_PARTS, rng.integers(1, 14)))
+        counts = np.cumsum(tokens.counter(PATH).prefix_changes(text), dtype=np.int64)
+        assert counts.tolist() == [len(ids(text[:i])) for i in range(1, len(text) + 1)], text
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "".join(f"{i * 37 % 100000:>12}\n" for i in range(80_000)),
+        " \n" * 500_000,
+        "x" + "\xa0" * 500_000,
+        "'re'll " * 150_000,
+        "a\tb\t\t" * 200_000,
+        "<|endoftext|> \n" * 60_000,
+        " " * 1_000_000,
+    ],
+    ids=["numbers", "blank lines", "no-break spaces", "apostrophes", "tabs", "added tokens", "spaces"],
+)
+def test_a_megabyte_takes_seconds(text):
+    start = time.perf_counter()
+    changes = tokens.counter(PATH).prefix_changes(text)
+    assert time.perf_counter() - start < 60
+    assert int(changes.sum(dtype=np.int64)) == len(ids(text))
+
+
 def test_all_characters_that_the_quicker_library_takes_and_others():
     """Beside letters, digits, marks and spaces, in texts of many chunks."""
     for first in (*range(0, 0x3000, 0x200), 0xD000, 0xFE00, 0x1F600, 0xE0000):
