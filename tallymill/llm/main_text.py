@@ -291,17 +291,18 @@ def _host(url: str) -> Column:
     return F.when(found != "", found)
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def host_paths(pages: DataFrame, url: str = "url", html: str = "html", kept: list[str] | None = None) -> DataFrame:
     """``host, pages, paths``: the paths that win at each host, most votes first, joined by spaces.
 
     Pages without a host vote for nothing. Votes are counted before the shuffle, so a host of any size costs a row for
-    each of its paths and tasks.
+    each of its paths and tasks. The counts are written, and their path is added to ``kept``.
     """
     rows = pages.select(_host(url).alias("host"), whole_text(html).alias("html")).filter("host IS NOT NULL")
     votes = by_row(rows, lambda page: [vote(page)], "path string, score double")
     counted = votes.filter("score > 0").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+    counted = saved(counted, "votes", kept)
     ranked = F.sort_array(F.collect_list(F.struct(-F.col("votes"), -F.round("score"), F.col("path"))))
-    by_host = counted.groupBy("host").agg(F.sum("votes").alias("pages"), F.max("votes").alias("most"))
+    by_host = counted.groupBy("host").agg(F.sum("votes").alias("pages"))
     winning = counted.join(by_host, "host").filter(F.col("votes") >= WINNING_SHARE * F.col("pages"))
     return winning.groupBy("host", "pages").agg(F.concat_ws(" ", F.transform(ranked, lambda x: F.translate(x["path"], " ", ""))).alias("paths"))
 
@@ -321,7 +322,7 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     """
     spark = pages.sparkSession
     kept: list[str] = []
-    agreed = saved(host_paths(pages, url, html), "host-paths", kept)
+    agreed = saved(host_paths(pages, url, html, kept), "host-paths", kept)
     total = agreed.agg(F.sum("pages")).first()[0] or 0
     is_hot = F.col("pages") > total * HOT_SHARE
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), _host(url).alias("host"), whole_text(html).alias("html"))
