@@ -37,6 +37,21 @@ def lowered(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def matching(docs: DataFrame, doc_id: str, mark: Column, listed: DataFrame, how: str) -> DataFrame:
+    """``key, doc``: the rows of ``docs`` whose id and mark are (``left_semi``) or are not (``left_anti``) in ``listed``.
+
+    ``listed`` has two columns, an id and a mark; null ids match each other. A row travels as one value under one key, so no name
+    among its columns matters, and what follows by ``key`` needs no second shuffle. ``select("doc.*")`` gives the columns back.
+    """
+    id_name, mark_name = listed.columns
+    rows = docs.select(
+        F.struct(F.col(f"`{doc_id}`").alias("id"), mark.alias("mark")).alias("key"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"),
+    )
+    keys = listed.select(F.struct(F.col(id_name).alias("id"), F.col(mark_name).alias("mark")).alias("key"))
+    return rows.join(keys, "key", how)
+
+
 def by_row(df: DataFrame, make: Callable[[str], list[tuple]], schema: str) -> DataFrame:
     """Any number of rows for each row of ``df``, whose last column is a text.
 

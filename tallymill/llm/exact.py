@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import lowered, saved, whole_text
+from tallymill.llm.common import lowered, matching, saved, whole_text
 
 #: A digest with this share of all rows or more is heavy.
 HEAVY_SHARE = 1 / 256
@@ -94,12 +94,6 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with their own columns."""
-    kept = exact_groups(docs, doc_id, text).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest")
-    )
-    marked = docs.withColumn("_own_digest", text_digest(text))
-    same = (F.col("_own_digest") == F.col("_kept_digest")) & F.col(doc_id).eqNullSafe(F.col("_kept_id"))
+    kept = exact_groups(docs, doc_id, text).filter("kept").select("doc_id", "text_sha256")
     # Rows that repeat id and text meet the same key; one of them is let through.
-    return (
-        marked.join(kept, same, "left_semi").dropDuplicates(["_own_digest", doc_id]).select(*[docs[c] for c in docs.columns])
-    )
+    return matching(docs, doc_id, text_digest(text), kept, "left_semi").dropDuplicates(["key"]).select("doc.*")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import by_row, saved, whole_text
+from tallymill.llm.common import by_row, matching, saved, whole_text
 from tallymill.llm.components import components
 
 WORDS_PER_SHINGLE = 3
@@ -283,10 +283,6 @@ def drop_near_copies(
         _grouped(docs, doc_id, text, size, radius)
         .groupBy("root")
         .agg(first.alias("first"))
-        .select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
-    )
-    marked = docs.withColumn("_own_mark", _mark(text))
-    same = (F.col("_own_mark") == F.col("_kept_mark")) & F.col(doc_id).eqNullSafe(F.col("_kept_id"))
-    return (
-        marked.join(kept, same, "left_semi").dropDuplicates(["_own_mark", doc_id]).select(*[docs[c] for c in docs.columns])
+        .select("first.doc_id", "first.mark")
     )
+    return matching(docs, doc_id, _mark(text), kept, "left_semi").dropDuplicates(["key"]).select("doc.*")

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import by_row, saved, whole_text
+from tallymill.llm.common import by_row, matching, saved, whole_text
 
 SEED_WORDS = 5
 LEAST_COVERAGE = 0.8
@@ -211,7 +211,4 @@ def contaminated(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """The documents that no item contaminates, with their own columns."""
     hits = saved(contaminated(docs, benchmark, doc_id=doc_id, text=text, short=short).select("doc_id", "mark").distinct(), "contaminated")
-    hits = hits.toDF("_hit_id", "_hit_mark")
-    marked = docs.withColumn("_own_mark", F.xxhash64(whole_text(text)))
-    same = (F.col("_own_mark") == F.col("_hit_mark")) & F.col(doc_id).eqNullSafe(F.col("_hit_id"))
-    return marked.join(hits, same, "left_anti").select(*[docs[c] for c in docs.columns])
+    return matching(docs, doc_id, F.xxhash64(whole_text(text)), hits, "left_anti").select("doc.*")

@@ -1,8 +1,7 @@
+import time
 import zlib
 from collections import defaultdict
 
-import time
-
 import numpy as np
 import public_tokenizers
 import pytest
