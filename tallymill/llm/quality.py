@@ -34,6 +34,21 @@ _KEPT_WORDS = 200_000
 _PUNCTUATION = ".,;:!?\"'()-"
 _MARKS = "%&$*#|!@^~<>{}[]=+\\"
 
+# Scripts that write no blanks between words (Thai, Lao, Tibetan, Burmese, Khmer, kana, ideographs), and wide marks
+# with those that they stand for.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WIDE = dict(zip("、。，．！？；：（）「」『』", ",.,.!?;:()\"\"\"\"", strict=True))
+_BEGINS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_UNITS = re.compile(f"[{_UNSPACED}]{{1,2}}[{''.join(_WIDE)}]*|[^{_UNSPACED}]+")
+
+
+def units(text: str) -> list[str]:
+    """The words of a text: runs of characters other than white space, and pairs of characters where a script has no blanks."""
+    words = text.split()
+    if text.isascii() or not _BEGINS_UNSPACED.search(text):
+        return words
+    return [unit for word in words for unit in _UNITS.findall(word)]
+
 
 # Labellers
 
@@ -50,9 +65,9 @@ def votes(text: str, words: list[str]) -> list[int]:
     if count < 5:
         return [NOTHING] * len(LABELLERS)
     marks = sum(map(text.count, _MARKS)) / count
-    ends = sum(map(text.count, ".?;:")) / count
+    ends = sum(map(text.count, ".?;:。？；：")) / count
     repeats = sum(map(operator.eq, words, words[1:])) / count
-    plain = sum(w.strip(_PUNCTUATION).isalpha() for w in words) / count
+    plain = sum(w.strip(_PUNCTUATION).isalpha() or w[0] > "\u0dff" and _BEGINS_UNSPACED.match(w) is not None for w in words) / count
     variety = len({*words}) / count ** 0.9
     return [
         _vote(sum(map(str.isupper, words)) / count, (0, 0.2), -1, 0.4),
@@ -61,7 +76,7 @@ def votes(text: str, words: list[str]) -> list[int]:
         _vote(repeats, (0, 0.05), -1, 0.15),
         _vote(variety, (0.3, 9), 0.12, 9) if count >= 40 else NOTHING,
         _vote(ends, (0.015, 0.4), 0.002 if count >= 100 else -1, 1),
-        _vote(sum(map(len, words)) / count, (3, 11), 2, 25),
+        _vote(sum(map(len, words)) / count, (3, 11), 2 if text.isascii() else 1.5, 25),
     ]
 
 
@@ -107,7 +122,9 @@ def estimate(counts: dict[int, int], rounds: int = 200) -> Posterior:
 
 
 def _kind(c: str) -> str:
-    return "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+    if c.isupper():
+        return "A"
+    return "a" if c.isalpha() or _BEGINS_UNSPACED.match(c) else "0" if c.isdigit() else _WIDE.get(c, c)
 
 
 _KINDS = {i: _kind(chr(i)) for i in range(0x250)}
@@ -116,7 +133,7 @@ _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 def word_features(word: str) -> tuple[int, int]:
     """Buckets of a word's shape, with runs of a kind written once, and of its length."""
-    shape = word[:200].translate(_KINDS)
+    shape = word.translate(_KINDS)
     if max(shape) > "\u024f":
         shape = "".join(map(_kind, shape))
     length = min(len(word), 8) if len(word) < 20 else 9
@@ -200,7 +217,7 @@ def fit(docs: DataFrame, text: str = "text", training: int = TRAINING_DOCUMENTS)
         for batch in batches:
             found = []
             for text, hashed, chosen in zip(batch["text"], batch["hash"], batch["chosen"], strict=True):
-                words = text.split()
+                words = units(text)
                 inputs = features(words).tobytes() if words and chosen else None
                 found.append((pattern(votes(text, words)) if words else -1, hashed, inputs))
             yield pd.DataFrame(found, columns=["pattern", "hash", "features"])
@@ -220,7 +237,7 @@ def fit(docs: DataFrame, text: str = "text", training: int = TRAINING_DOCUMENTS)
 def score_column(scorer: Scorer, text: str = "text") -> Column:
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([scorer.score(x.split()) for x in texts], dtype="float64")
+        return pd.Series([scorer.score(units(x)) for x in texts], dtype="float64")
 
     return score(whole_text(text))
 
@@ -229,7 +246,7 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """One row per document: ``doc_id, score, good``.
 
     ``score`` is the scorer's probability that the document is good and ``good`` says whether it stays. Words
-    are runs of characters other than white space. A null, empty or blank document scores 0. Rows that repeat an id, or have
+    are runs of characters other than white space, or pairs of characters in scripts without blanks. A null, empty or blank document scores 0. Rows that repeat an id, or have
     none, are judged each; an empty table gives an empty result. Other columns are not read.
     """
     _, scorer = fit(docs, text)
@@ -237,6 +254,14 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return scored.withColumn("good", F.col("score") >= KEEP_FROM)
 
 
+def kept_share(docs: DataFrame, by: str, text: str = "text") -> DataFrame:
+    """``by, documents, kept``: the share of documents that stay for each value of a column, such as the language."""
+    _, scorer = fit(docs, text)
+    kept = (score_column(scorer, text) >= KEEP_FROM).cast("int").alias("kept")
+    scored = docs.select(F.col(by).alias("by"), kept)
+    return scored.groupBy("by").agg(F.count(F.lit(1)).alias("documents"), F.avg("kept").alias("kept")).withColumnRenamed("by", by)
+
+
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that score ``KEEP_FROM`` or more, with their own columns."""
     _, scorer = fit(docs, text)

@@ -185,8 +185,9 @@ def contaminated(
     """``doc_id, mark, item_id, item_words, tiles, tiled_words, coverage`` of each document and item that it holds.
 
     Whole texts of all documents are compared with all items, tiles have ``size`` words or more, and coverage is at
-    least ``least``. Items of fewer than ``size`` words are one tile as a whole with ``short``, else they contaminate nothing; nor do null ones and those without words; nor are
-    null or empty documents contaminated. Rows that repeat an id are reported each, null ids as null. An empty table on
+    least ``least``. Items of fewer than ``size`` words are one tile as a whole; ``short=False`` leaves them out, for benchmarks whose
+    short items are common words. Null items and those without words contaminate nothing, and null or empty documents are not
+    contaminated. Rows that repeat an id are reported each, null ids as null. An empty table on
     either side gives an empty result. Other columns are not read. ``mark`` is a hash of the text.
     """
     kind = benchmark.schema[item_id].dataType.simpleString()

@@ -60,3 +60,39 @@ def test_query_against_held_out_labels(spark):
     bad = [found[i] for i, q in labels.items() if not q]
     good = [found[i] for i, q in labels.items() if q]
     assert len(found) == 1000 and sum(bad) <= 0.03 * len(bad) and sum(good) >= 0.99 * len(good)
+
+
+SCRIPTS = {
+    "zh": [
+        "春天来了，公园里的花都开了。孩子们在草地上奔跑，老人们坐在长椅上聊天。微风吹过湖面，带来一阵清香。",
+        "科学家最近发现了一种新的材料，它可以在很低的温度下传导电流。这项研究的结果已经发表在一份国际期刊上。",
+    ],
+    "th": ["กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย มีประชากรหลายล้านคน และเป็นศูนย์กลางของการค้าและวัฒนธรรม"],
+    "ja": ["昨日は友達と一緒に図書館へ行きました。面白い本をたくさん見つけて、夕方まで読んでいました。"],
+    "ru": ["Вчера мы ходили в старый город и долго гуляли по узким улицам. Потом мы сидели в кафе и пили чай."],
+    "ar": ["ذهبنا أمس إلى المدينة القديمة وتجولنا في شوارعها الضيقة. ثم جلسنا في المقهى وشربنا الشاي."],
+    "junk": ["的" * 200, "%%% 字$$$ ###的 &&&在*** " * 20, "ก" * 300, "!!!???。。。，，，" * 30, "Ж%%% Ы$$$ ***Ъ " * 20],
+}
+
+
+def test_no_script_is_thrown_out_wholesale(spark):
+    """Good and bad texts of scripts that the corpus hardly holds, beside those that it does."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(10**6, text, lang) for lang, texts in SCRIPTS.items() for text in texts + [" ".join(texts) * 4]]
+    more = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    share = {row["lang"]: (row["documents"], row["kept"]) for row in quality.kept_share(docs.union(more), "lang").collect()}
+    for lang, texts in SCRIPTS.items():
+        assert share[lang] == (len(texts) + 1, 0.0 if lang == "junk" else 1.0), lang
+    assert all(share[lang][1] > 0.8 for lang in ("en", "de", "fr", "es"))
+
+
+def test_units_cover_the_text():
+    for text in (GOOD, "", " \n", *[t for texts in SCRIPTS.values() for t in texts], "一" * 5 + "abc 二三，x"):
+        assert "".join(quality.units(text)) == "".join(text.split())
+    assert quality.units("plain words, only") == ["plain", "words,", "only"]
+    assert quality.units("春天来，abc") == ["春天", "来，", "abc"]
+
+
+def test_very_long_words_are_read_whole():
+    assert quality.word_features("a" * 500) == quality.word_features("a" * 300)
+    assert quality.word_features("a" * 500 + "%") != quality.word_features("a" * 500)
