@@ -1,8 +1,9 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
 Candidates are runs of letters, digits and ``+/_-`` anywhere in a text: all that follow a credential word or are assigned, whatever their length and
-letters, and of the others long ones with a digit or with many capitals in a row. A forest judges them by length, character classes and transitions
-between them, coverage by words that are frequent in the documents, the path, and the text beside them. It is trained from labelled findings.
+letters, and of the others those that are no plain words: with digits, many capitals in a row or many changes of case. A forest judges them by
+length, form, character classes and transitions between them, coverage by words that are frequent in the documents, the path, and the
+words beside them. It is trained from labelled findings: given ones, or those that rules label.
 """
 
 from __future__ import annotations
@@ -26,21 +27,26 @@ TREES, DEPTH = 20, 6
 PATH_BUCKETS = 16
 KEEP_FROM = 0.5
 
-_OPAQUE = r"[0-9]|[A-Z]{16}"
+_OPAQUE = r"[0-9]|[A-Z]{16}|(?:[a-z][A-Z].*?){3}"
 #: Characters of the text on either side of a candidate, at most.
 BESIDE = 64
 # What stands before a run, and the run, with the signs that fill up base64; the last match is what stands behind all runs.
 _PIECES = r"\G([^A-Za-z0-9+/_-]*+)([A-Za-z0-9+/_-]++(?:={1,2}(?![\"']?[A-Za-z0-9+/_=-]))?|\z)"
 _ASSIGNED = r"[=:]>?[\s\"'`\\(\[{<]*$"
 
-# Words beside credentials, words beside samples, and forms of well-known keys.
+# Words beside credentials, samples, checksums and ids; forms of ids, checksums and well-known keys.
 CREDENTIAL = r"(?i)(passw|passwd|passphrase|passcode|pwd|secret|token|api.?key|apikey|access.?key|auth|credential|bearer|private)"
 SAMPLE = r"(?i)(?<![a-z])(examples?|samples?|dummy|placeholders?|tests?|x{4,}|your)(?![a-z])"
+CHECKSUM = r"(?i)(?<![a-z])(commits?|revisions?|rev|sha-?[0-9]*|md5|etag|integrity|checksums?|digests?|hash(es)?|fingerprints?|blob|tree|uuid|guid|build|(request|trace|session|message|order|user)?[-_ ]?id)(?![a-z])"
+UUID = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+DIGEST = r"^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})$"
+INTEGRITY = r"^sha(1|224|256|384|512)-[A-Za-z0-9+/]+={0,2}$"
 KNOWN_KEY = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[A-Za-z0-9_-]{35}$"
 
 FEATURES = [
     "length", "digits", "capitals", "distinct", "hex", "turns", "case_turns", "vowel_turns",
     "coverage", "path_bucket", "credential_before", "credential_inside", "sample_beside", "assigned", "before_length", "behind_length",
+    "checksum_beside", "uuid", "digest", "integrity",
 ]
 
 
@@ -119,21 +125,28 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
             "assigned": (F.col("before").rlike(_ASSIGNED) & ~F.col("candidate").startswith("//")).cast("double"),
             "before_length": F.length("before").cast("double"),
             "behind_length": F.length("behind").cast("double"),
+            "checksum_beside": F.col("before").rlike(CHECKSUM).cast("double"),
+            "uuid": F.col("candidate").rlike(UUID).cast("double"),
+            "digest": F.col("candidate").rlike(DIGEST).cast("double"),
+            "integrity": F.col("candidate").rlike(INTEGRITY).cast("double"),
         }
     )
 
 
 def rule_label() -> Column:
-    """Labels of findings that need no judgement: well-known keys and assigned credentials are secrets; numbers, samples
-    and words of the language are not. Null for all others, which only the forest judges."""
+    """Labels of findings that need no judgement: well-known keys and assigned credentials are secrets; numbers, samples,
+    words of the language, and checksums and ids that no credential word names are not. Null for all others, which only the
+    forest judges."""
     opaque = (F.col("length") >= 16) & (F.col("digits") > 0.1) & (F.col("coverage") < 0.3)
     # Passwords may be shorter; those of one case and no digits are left to the forest, as a word that the dictionary lacks looks the same.
     mixed = F.col("candidate").rlike("[A-Za-z].*[0-9]|[0-9].*[A-Za-z]") | (F.col("case_turns") > 0.4)
     short = (F.col("length") >= 8) & mixed & (F.col("coverage") < 0.3) & (F.col("credential_inside") == 0)
     named = (F.col("credential_before") > 0) & (F.col("assigned") > 0)
+    of_form = (F.col("uuid") > 0) | (F.col("integrity") > 0) | ((F.col("digest") > 0) & (F.col("checksum_beside") > 0))
     return (
         F.when(F.col("candidate").rlike(KNOWN_KEY), 1.0)
         .when(F.col("sample_beside") > 0, 0.0)
+        .when((F.col("credential_before") == 0) & of_form, 0.0)
         .when(named & (opaque | short), 1.0)
         .when((F.col("digits") == 1) | (F.col("coverage") > 0.6) | F.col("candidate").rlike("^[A-Za-z]+[0-9]{1,4}$"), 0.0)
     )
@@ -152,17 +165,30 @@ def train(findings: DataFrame, training: int = TRAINING_FINDINGS) -> PipelineMod
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(rows.coalesce(1))
 
 
-def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", path: str = "source", text: str = "text", labels: Column | None = None) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    path: str = "source",
+    text: str = "text",
+    labels: Column | DataFrame | None = None,
+) -> DataFrame:
     """One row per candidate: ``doc_id, path, place, candidate, probability, is_secret``.
 
-    ``labels`` labels findings by their features (1, 0 or null); ``rule_label`` by default. ``is_secret`` is false for the candidates that
+    ``labels`` are findings that someone has judged, as a frame ``doc_id, place, label`` with labels 1 and 0, or a column that
+    labels findings by their features (1, 0 or null); ``rule_label`` by default. At most ``TRAINING_FINDINGS`` of each label are
+    used. A finding that is labelled twice counts once if the labels agree; where they differ, it trains nothing. ``is_secret`` is false for the candidates that
     the forest removes. Without labels of both kinds no forest can be trained: then the probability is null and all
     candidates stay. A null text is empty, a null path the empty path; neither has candidates of its own. Rows that
     repeat an id are scanned each; an empty table gives an empty result. Other columns are not read.
     """
     words = dictionary(docs, text)
     found = saved(with_features(candidates(docs, doc_id, path, text), words), "findings")
-    found = found.withColumn("label", rule_label() if labels is None else labels)
+    if isinstance(labels, DataFrame):
+        judged = labels.groupBy("doc_id", "place").agg(F.min("label").cast("double").alias("label"), F.max("label").cast("double").alias("other"))
+        agreed = judged.filter("label = other").drop("other")
+        found = found.join(agreed, ["doc_id", "place"], "left")
+    else:
+        found = found.withColumn("label", rule_label() if labels is None else labels)
     model = train(found)
     if model is None:
         judged = found.withColumn("probability", F.lit(None).cast("double"))

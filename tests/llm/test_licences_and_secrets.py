@@ -222,3 +222,70 @@ HEADERS = [
 def test_headers_that_are_no_copies_of_templates(text, licence):
     for total in (0, 100_000):
         assert licences.Matcher(licences.TEMPLATES, total, {}).scan(text, licences.LEAST_COSINE)[0] == licence
+
+
+def _judged_by_hand():
+    """Lines with one run each that someone would call a secret (1) or not (0), written without a look at the rules."""
+    import base64
+    import hashlib
+    import random
+    import uuid
+
+    draw = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def some(count, signs=letters + "0123456789"):
+        return "".join(draw.choice(signs) for _ in range(count))
+
+    lines = []
+    for i in range(12):
+        data = some(30).encode()
+        identity = uuid.UUID(int=draw.getrandbits(128))
+        checksum = base64.b64encode(hashlib.sha512(data).digest()).decode()
+        lines += [
+            (f"fixed in commit {hashlib.sha1(data).hexdigest()} last week", 0),
+            (f"request id {identity} was slow", 0),
+            (f'"integrity": "sha512-{checksum}"', 0),
+            (f"etag: {hashlib.md5(data).hexdigest()}", 0),
+            (f"md5={hashlib.md5(data).hexdigest()} of the file", 0),
+            (f"the order {draw.randrange(10**15, 10**16)} has left", 0),
+            (f"password = {some(14)}9x", 1),
+            (f'"api_key": "{some(32)}"', 1),
+            (f"export SECRET_TOKEN={some(40)}", 1),
+            (f"aws AKIA{some(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')} in use", 1),
+            (f"Authorization: Bearer {some(36)}", 1),
+            (f"private key {hashlib.sha256(data).hexdigest()}", 1),
+        ]
+    return lines
+
+
+def test_precision_and_recall_on_findings_judged_by_hand(spark):
+    from pyspark.sql import functions as F
+
+    lines = _judged_by_hand()
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source", "text")
+    more = spark.createDataFrame([(10**7 + i, "src", f"some words before\n{line}\nand behind") for i, (line, _) in enumerate(lines)], docs.schema)
+    found = secret_scan.scan_secrets(docs.union(more)).filter(F.col("doc_id") >= 10**7).collect()
+    kept = {row["doc_id"] - 10**7 for row in found if row["is_secret"]}
+    secrets = {i for i, (_, label) in enumerate(lines) if label}
+    assert {row["doc_id"] - 10**7 for row in found} >= secrets
+    assert len(kept & secrets) >= 0.9 * len(secrets)
+    assert len(kept & secrets) >= 0.95 * len(kept)
+
+
+def test_a_mixed_key_without_digits_is_a_candidate(spark):
+    key = "aBcDeFgHqRsTuVwXyZkLmNoPaBzXcVbN"
+    found = secret_scan.candidates(notes(spark, [(1, "src", f"see {key} here"), (2, "src", "plainwordsonly Capitalised WORDS")])).collect()
+    assert [row["candidate"] for row in found] == [key]
+
+
+def test_findings_that_someone_has_judged(spark):
+    """The labels turn the rules round: what they call numbers is secret here."""
+    from pyspark.sql import functions as F
+
+    docs = notes(spark, NOTES)
+    found = secret_scan.candidates(docs).select("doc_id", "place", F.when(F.col("candidate").rlike("^[0-9]+$"), 1).otherwise(0).alias("label"))
+    judged = secret_scan.scan_secrets(docs, labels=found).collect()
+    assert all(row["is_secret"] == row["candidate"].isdigit() for row in judged)
+    torn = found.union(found.withColumn("label", 1 - F.col("label")))
+    assert all(row["probability"] is None for row in secret_scan.scan_secrets(docs, labels=torn).collect())
