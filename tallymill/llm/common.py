@@ -44,11 +44,13 @@ def matching(docs: DataFrame, doc_id: str, mark: Column, listed: DataFrame, how:
     among its columns matters, and what follows by ``key`` needs no second shuffle. ``select("doc.*")`` gives the columns back.
     """
     id_name, mark_name = listed.columns
-    rows = docs.select(
-        F.struct(F.col(f"`{doc_id}`").alias("id"), mark.alias("mark")).alias("key"),
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"),
-    )
-    keys = listed.select(F.struct(F.col(id_name).alias("id"), F.col(mark_name).alias("mark")).alias("key"))
+
+    def key(own: Column, marked: Column) -> Column:
+        # Of one type on both sides, null or not: what differs in that would be cast, and shuffled anew by what follows.
+        return F.struct(*[F.coalesce(x.cast("string"), F.lit("")) for x in (own, marked)], own.isNull()).alias("key")
+
+    rows = docs.select(key(F.col(f"`{doc_id}`"), mark), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("doc"))
+    keys = listed.select(key(F.col(id_name), F.col(mark_name)))
     return rows.join(keys, "key", how)
 
 
