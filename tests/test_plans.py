@@ -378,3 +378,19 @@ def test_scratch_follows_the_setting(spark):
     assert os.path.isabs(scratch_path(Session("local[4]"), "x"))
     with pytest.raises(RuntimeError):
         scratch_path(Session("yarn"), "x")
+
+
+@pytest.mark.parametrize("name", ["served_latest", "served_history"])
+def test_batches_that_are_published_in_turn_share_an_index_and_all_tasks(spark, sf_dir, monkeypatch, name):
+    import __spark_entry__ as entry
+
+    calls = []
+
+    def recorded(*args, **kwargs):
+        calls.append(kwargs)
+        return run_batch(*args, **kwargs)
+
+    monkeypatch.setattr(entry, "run_batch", recorded)
+    assert entry.queries()[name](spark, sf_dir).count()
+    assert [call["partitions"] for call in calls] == [spark.sparkContext.defaultParallelism] * 3
+    assert len({id(call["index"]) for call in calls}) == 1
