@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import operator
 import re
 import string
 from array import array
@@ -24,10 +25,14 @@ from tokenizers import Tokenizer
 
 from tallymill.llm.common import by_row, whole_text
 
-#: Chunks, and words without what follows them, that a worker keeps; beyond that it starts anew.
-KEPT_CHUNKS = 250_000
-KEPT_WORDS = 350_000
+#: Chunks, and parts of chunks that are more than a word and marks, that a worker keeps; beyond that it starts anew.
+KEPT_CHUNKS = 450_000
+KEPT_WORDS = 150_000
 KEPT_PAIRS = 600_000
+#: Beginnings of pieces that a worker keeps the counts of, and how many bytes they have.
+KEPT_BEGINNINGS = 150_000
+_FROM_LONGEST = (10, 8, 6, 4)
+_BEGINNINGS = frozenset(_FROM_LONGEST)
 
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 #: An apostrophe may begin a piece that holds letters.
@@ -65,6 +70,8 @@ class Kept(dict):
     class After(dict):
         def __init__(self, make, added: list[str]) -> None:
             self.make, self.added, self.parts = make, added, {}
+            # Whether an added token may lie in a word with marks behind it.
+            self.spelled = any(word.isalpha() or not word for word in (t.rstrip(_MARKS) for t in added))
 
         def part(self, text: str) -> bytes:
             value = self.parts.get(text)
@@ -83,6 +90,10 @@ class Kept(dict):
             return self.part(text)
 
         def __missing__(self, chunk: str) -> bytes | None:
+            word = chunk.rstrip(_MARKS)
+            if word.isalpha() and word[-1] < SETTLED and not self.spelled:
+                marks = chunk[len(word) :]
+                return self.keep(chunk, self[word] + self.part(marks) if marks else self.make(" " + word))
             first, *rest = chunk.split("\n")
             if any(not x or x[0].isspace() or x[-1].isspace() for x in (first, *rest)):
                 value = None
@@ -92,6 +103,9 @@ class Kept(dict):
                 value = self.line(" " + first)
                 for x in rest:
                     value += self.part("\n") + self.line(x)
+            return self.keep(chunk, value)
+
+        def keep(self, chunk: str, value: bytes | None) -> bytes | None:
             if len(chunk) <= 64:
                 if len(self) >= KEPT_CHUNKS:
                     self.clear()
@@ -104,7 +118,7 @@ class Kept(dict):
     def __missing__(self, chunk: str) -> bytes:
         value = self.make(chunk)
         if len(chunk) <= 64:
-            if len(self) >= KEPT_CHUNKS // 4:
+            if len(self) >= KEPT_CHUNKS // 8:
                 self.clear()
             self[chunk] = value
         return value
@@ -138,6 +152,7 @@ class PrefixCounter:
         self.order = {s: -1 for s in self.symbols} | {token: made[token] for token in model["vocab"] if token in made}
         self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.follows: dict[int, bool] = {}
+        self.begun: dict[str, tuple[list[int], list[int]]] = {}
         # Some tokens can only arise inside others: encoding their own bytes gives something else.
         self.tokens: list[str] = []
         self.number: dict[str, int] = {}
@@ -166,9 +181,17 @@ class PrefixCounter:
                 return True
 
     def piece(self, symbols: str) -> list[int]:
-        """Token counts of all prefixes of a piece, from the empty one on; a symbol stands for a byte."""
-        last, count, number, follows = [0], [0], self.number.get, self.follows
-        for i in range(1, len(symbols) + 1):
+        """Token counts of all prefixes of a piece, from the empty one on; a symbol stands for a byte.
+
+        Counts of a prefix depend on it alone, so a piece goes on from the longest beginning that an earlier one had too.
+        """
+        begun, number, follows = self.begun, self.number.get, self.follows
+        last, count, done = [0], [0], 0
+        for size in _FROM_LONGEST:
+            if size <= len(symbols) and (found := begun.get(symbols[:size])):
+                last, count, done = [*found[0]], [*found[1]], size
+                break
+        for i in range(done + 1, len(symbols) + 1):
             for start in range(i - 1, -1, -1):
                 token = number(symbols[start:i])
                 if token is None:
@@ -187,6 +210,10 @@ class PrefixCounter:
                 break
             else:
                 raise ValueError(f"no token ends {symbols[:i]!r}")
+            if i in _BEGINNINGS:
+                if len(begun) >= KEPT_BEGINNINGS:
+                    begun.clear()
+                begun[symbols[:i]] = [*last], [*count]
         return count
 
     def pieces(self, text: str) -> list[tuple[str, int, int]]:
@@ -196,7 +223,8 @@ class PrefixCounter:
         """For each character, by how much the count of the prefix that it ends differs from the one before."""
         inner = chunk[1:] if chunk[:1] == " " else chunk
         if inner.isalpha() and max(inner) < SETTLED:
-            pieces = [("".join(map(self.symbols.__getitem__, chunk.encode())), 0, len(chunk))]
+            table = self.piece(self.symbols[32] + inner if len(inner) < len(chunk) and inner.isascii() else self._spelled(chunk))
+            return _steps(table if len(table) == len(chunk) + 1 else self._at_characters(table, chunk))
         elif "'" in chunk or len(inner.split()) != 1 or len(inner) != len(inner.strip()) or self.added and self.added.search(chunk):
             # The cut into pieces depends on what follows.
             return _changes(self._prefixes(chunk))
@@ -269,8 +297,9 @@ class PrefixCounter:
     def _by_character(self, symbols: str, text: str) -> list[int]:
         """``piece`` at the ends of characters only."""
         table = self.piece(symbols)
-        if len(symbols) == len(text):
-            return table
+        return table if len(symbols) == len(text) else self._at_characters(table, text)
+
+    def _at_characters(self, table: list[int], text: str) -> list[int]:
         return [table[n] for n in itertools.accumulate((len(c.encode()) for c in text), initial=0)]
 
     def prefix_changes(self, text: str) -> np.ndarray:
@@ -280,7 +309,12 @@ class PrefixCounter:
 
 def _changes(counts: list[int]) -> bytes:
     """Steps from each count to the next as signed bytes; a token has fewer than 129 bytes, so steps fit."""
-    return array("b", map(int.__sub__, counts, [0, *counts[:-1]])).tobytes()
+    return _steps([0, *counts])
+
+
+def _steps(table: list[int]) -> bytes:
+    """``_changes`` of counts from that of the empty prefix on."""
+    return array("b", map(operator.sub, table[1:], table)).tobytes()
 
 
 def byte_symbols() -> list[str]:

@@ -186,3 +186,35 @@ def test_first_fit_decreasing_agrees_with_a_plain_scan():
             room[b] -= sizes[i]
         found = packing.first_fit_decreasing(sizes, 100)
         assert found == ([where[i] for i in range(len(sizes))], [offset[i] for i in range(len(sizes))])
+
+
+class Lookups(dict):
+    asked = 0
+
+    def get(self, *args):
+        self.asked += 1
+        return super().get(*args)
+
+
+def test_pieces_go_on_from_beginnings_that_were_counted_before(monkeypatch):
+    counter = tokens.PrefixCounter(PATH)
+    counter.number = Lookups(counter.number)
+    long, longer = " thationerwher", " thationerwhingé"
+    first = [len(ids(long[:i])) for i in range(len(long) + 1)]
+    assert counter.piece(counter._spelled(long)) == first
+    asked = counter.number.asked
+    assert counter.piece(counter._spelled(long)) == first
+    assert counter.number.asked - asked <= asked // 2
+    monkeypatch.setattr(tokens, "KEPT_BEGINNINGS", 2)
+    for text in (longer, long, long[:7], long[:10], longer):
+        counts = np.cumsum(counter.prefix_changes(text + " " + text + "."), dtype=np.int64)
+        assert counts.tolist() == [len(ids((text + " " + text + ".")[:i])) for i in range(1, 2 * len(text) + 3)]
+
+
+def test_words_marks_and_added_tokens_without_space():
+    def cut(chunk):
+        return f"<{chunk}>".encode()
+
+    plain, spelled = tokens.Kept(cut, ["<|x|>"]), tokens.Kept(cut, ["ab."])
+    assert plain.after["ab.,"] == b"< ab><.,>" and plain.after["ab"] == b"< ab>"
+    assert spelled.after["ab.,"] == b"< ab.,>" and plain.after["a'b"] == b"< a'b>" and plain.after[""] is None
