@@ -6,6 +6,7 @@ import base64
 import functools
 import zlib
 from array import array
+from typing import NamedTuple
 
 import public_tokenizers
 import pyarrow as pa
@@ -22,9 +23,28 @@ END_ID = 1
 GROUP_TOKENS, GROUP_PIECES = 2_000_000, 65_536
 
 
+class Encoder(NamedTuple):
+    """The quicker library, what it must not be given, and ids of chunks for texts that hold such."""
+
+    quick: tiktoken.Encoding
+    added: list[str]
+    kept: Kept
+
+    def takes(self, text: str) -> bool:
+        return _settled(text) and not any(t in text for t in self.added)
+
+
+def _settled(text: str) -> bool:
+    try:
+        text.encode("latin-1")  # tells of most texts without a look at each character
+    except UnicodeEncodeError:
+        return max(text) < SETTLED
+    return True
+
+
 @functools.cache
-def _encoder(path: str, ranks: str) -> Kept:
-    """Ids of chunks. Both libraries give the same ids for the same vocabulary; the quicker one takes characters whose
+def _encoder(path: str, ranks: str) -> Encoder:
+    """Both libraries give the same ids for the same vocabulary; the quicker one takes characters whose
     kind all versions of Unicode agree on, and no added tokens."""
     tokenizer, added = load(path)
     lines = (line.split() for line in open(ranks, "rb"))
@@ -39,12 +59,16 @@ def _encoder(path: str, ranks: str) -> Kept:
             return array("I", quick.encode_ordinary(chunk)).tobytes()
         return array("I", tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
-    return Kept(make, added)
+    return Encoder(quick, added, Kept(make, added))
 
 
 def token_ids(text: str, path: str, ranks: str) -> bytes:
-    """Ids as little-endian unsigned 32-bit numbers, encoded chunk by chunk (see ``tokens.chunks``)."""
-    return b"".join(chunks(text, _encoder(path, ranks)))
+    """Ids as little-endian unsigned 32-bit numbers: of a whole text where the quicker library takes it, else chunk by
+    chunk (see ``tokens.chunks``), so that a character beyond it costs its own chunk only."""
+    encoder = _encoder(path, ranks)
+    if encoder.takes(text):
+        return encoder.quick.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+    return b"".join(chunks(text, encoder.kept))
 
 
 class Bins:

@@ -218,3 +218,14 @@ def test_words_marks_and_added_tokens_without_space():
     plain, spelled = tokens.Kept(cut, ["<|x|>"]), tokens.Kept(cut, ["ab."])
     assert plain.after["ab.,"] == b"< ab><.,>" and plain.after["ab"] == b"< ab>"
     assert spelled.after["ab.,"] == b"< ab.,>" and plain.after["a'b"] == b"< a'b>" and plain.after[""] is None
+
+
+def test_plain_texts_are_encoded_whole(monkeypatch):
+    texts = ["", "plain words, and\n\nlines.  Été ÿ Ɏ x\x85y", "a" * 3000 + " " * 3000 + "b"]
+    odd = ["curly ’ mark", "added <|endoftext|> token", "日本 words"]
+    seen = []
+    chunks = tokens.chunks
+    monkeypatch.setattr(packing, "chunks", lambda text, kept: seen.append(text) or chunks(text, kept))
+    for text in texts + odd:
+        assert np.frombuffer(packing.token_ids(text, PATH, RANKS), "<u4").tolist() == ids(text), text
+    assert seen == odd
